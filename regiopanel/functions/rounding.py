@@ -21,23 +21,18 @@ def int_div(a: Column | str, b: Column | str | int) -> Column:
     return F.call_function("div", as_column(a), divisor)
 
 
-def round_ratio(num: Column | str, den: Column | str, digits: int, scale: int = 1) -> Column:
+def round_ratio(num: str, den: str, digits: int, scale: int = 1) -> Column:
     """``num * scale / den`` rounded half away from zero; null if ``den`` is null or 0.
 
-    The whole part is split off before scaling up by ``10**digits``, so only the
-    remainder (smaller than ``den``) is multiplied and a BIGINT is wide enough for
-    denominators up to 10**14.
+    Both are SQL expressions over whole numbers; ``num * scale * 2 * 10**digits`` has to
+    fit a BIGINT (an overflow raises, it does not wrap).  ``div`` cuts towards zero, so
+    adding half the divisor with the sign of ``num`` rounds for any signs.
     """
-    factor = 10**digits
-    n = as_column(num).cast("bigint") * F.lit(scale).cast("bigint")
-    d = F.nullif(as_column(den).cast("bigint"), F.lit(0).cast("bigint"))
-    n_abs, d_abs = F.abs(n), F.abs(d)
-    rest = n_abs % d_abs
-    units = int_div(n_abs, d_abs) * factor + int_div(rest * (2 * factor) + d_abs, d_abs * 2)
-    signed = F.when((n < 0) != (d < 0), -units).otherwise(units)
-    return signed.cast("double") / F.lit(float(factor))
+    n, d = f"cast({num} as bigint)", f"cast({den} as bigint)"
+    doubled = f"{n} * {2 * scale * 10**digits}L + if({n} < 0L, -abs({d}), abs({d}))"
+    return F.expr(f"case when {d} <> 0L then cast(({doubled}) div ({d} * 2L) as double) / {10**digits}D end")
 
 
-def ratio_or_zero(num: Column | str, den: Column | str, digits: int, scale: int = 1) -> Column:
+def ratio_or_zero(num: str, den: str, digits: int, scale: int = 1) -> Column:
     """``round_ratio`` with 0 where there is nothing to divide by."""
     return F.coalesce(round_ratio(num, den, digits, scale), F.lit(0.0))

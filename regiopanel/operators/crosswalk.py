@@ -7,23 +7,26 @@ from pyspark.sql import functions as F
 
 from regiopanel.functions import int_div
 from regiopanel.operators.quality import duplicate_keys, unmatched_keys
+from regiopanel.operators.spine import present
 
 
 def region_pairs(regions: DataFrame, code: str = "nuts", geo: str = "geo") -> DataFrame:
     """Distinct code and key pairs of the regions that carry a code."""
-    return regions.select(code, geo).dropna().distinct()
+    return present(regions.select(code, geo), code, geo).distinct()
 
 
 def postal_regions(postal_keys: DataFrame, postal: str = "plz", community: str = "ags") -> DataFrame:
     """Distinct postal code and region pairs; the region is the community key without three digits."""
-    return postal_keys.select(
+    pairs = postal_keys.select(
         F.col(postal).try_cast("int").alias("postal"), int_div(community, 1_000).cast("int").alias("geo")
-    ).dropna().distinct()
+    )
+    return present(pairs, "postal", "geo").distinct()
 
 
 def postal_codes(postal_nuts: DataFrame, code: str = "nuts3", postal: str = "code") -> DataFrame:
     """Distinct code and postal code pairs."""
-    return postal_nuts.select(F.col(code).alias("nuts"), F.col(postal).try_cast("int").alias("postal")).dropna().distinct()
+    pairs = postal_nuts.select(F.col(code).alias("nuts"), F.col(postal).try_cast("int").alias("postal"))
+    return present(pairs, "nuts", "postal").distinct()
 
 
 def pairs_by_postal(codes: DataFrame, regions: DataFrame) -> DataFrame:
@@ -45,7 +48,7 @@ def district_pairs(regions: DataFrame, city: DataFrame, lo: int, hi: int, strict
     """
     code = city.select("nuts").distinct().scalar() if strict else city.agg(F.min("nuts")).scalar()
     inside = (F.col("geo") >= lo) & (F.col("geo") < hi)
-    return regions.filter(inside).select(code.alias("nuts"), "geo").dropna().distinct()
+    return present(regions.filter(inside).select(code.alias("nuts"), "geo"), "nuts").distinct()
 
 
 def build_crosswalk(

@@ -43,7 +43,7 @@ def mobility_by_region(mobility: DataFrame, crosswalk: DataFrame) -> DataFrame:
 def icu_occupancy(icu: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Share of beds taken by cases, as a ratio of sums over whatever ``keys`` combine."""
     sums = icu.groupBy(*keys).agg(*[F.sum(F.col(c).cast("bigint")).alias(c) for c in ICU_SUMS])
-    share = round_ratio("icu_cases", F.col("beds_free") + F.col("beds_occupied"), 4)
+    share = round_ratio("icu_cases", "beds_free + beds_occupied", 4)
     return sums.select(*keys, share.alias("icu_share"), "icu_cases", "icu_ventilated")
 
 

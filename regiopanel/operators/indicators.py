@@ -27,7 +27,7 @@ def quota_column(level: int) -> str:
     return f"dose_quota_{level}"
 
 
-def incidence(recent_cases: Column | str, population: Column | str, digits: int = 1) -> Column:
+def incidence(recent_cases: str, population: str, digits: int = 1) -> Column:
     return round_ratio(recent_cases, population, digits, scale=PER_INHABITANTS)
 
 

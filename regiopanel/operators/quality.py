@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from regiopanel.operators.spine import date_spine, day_bounds
+from regiopanel.operators.spine import date_spine, day_bounds, present
 
 
 class DataCheckError(ValueError):
@@ -34,7 +34,7 @@ def unmatched_keys(left: DataFrame, right: DataFrame, on: str | Sequence[str]) -
 
 def total_lookup(left: DataFrame, right: DataFrame, on: str, message: str) -> DataFrame:
     """Left join that must find every key; raises with the keys it misses."""
-    require_empty(unmatched_keys(left.dropna(subset=[on]), right, on), message)
+    require_empty(unmatched_keys(present(left, on), right, on), message)
     return left.join(right, on, "left")
 
 
@@ -57,9 +57,9 @@ def profile_time_series(df: DataFrame, key: str, day: str = "day") -> DataFrame:
 
 def missing_days(df: DataFrame, day: str = "day") -> DataFrame:
     """Days between the first and the last on which there is no row."""
-    present = df.select(day).dropna().distinct()
+    seen = present(df.select(day), day).distinct()
     lo, hi = day_bounds(df, day)
-    return date_spine(df.sparkSession, lo, hi, day).join(present, day, "left_anti")
+    return date_spine(df.sparkSession, lo, hi, day).join(seen, day, "left_anti")
 
 
 def profile_nulls(df: DataFrame) -> DataFrame:

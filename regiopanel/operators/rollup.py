@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from regiopanel.functions import int_div
+from regiopanel.operators.spine import present
 
 # The state is the region key without its last three digits, the
 # country has key 0.
@@ -44,7 +45,7 @@ def rollup_state(
     rolled = _detail(panel, flag).groupBy(state, day).agg(*[F.sum(c).alias(c) for c in sums])
     if states is None:
         return rolled
-    names = states.select(state, "state_name").dropna(subset=[state]).distinct()
+    names = present(states.select(state, "state_name"), state).distinct()
     return rolled.join(names, state, "left")
 
 
@@ -74,7 +75,7 @@ def population_by_level(
 ) -> DataFrame:
     """Population of every state and, under the country's key, of all of them."""
     per_state = regions.groupBy(F.col(state).alias("level_id")).agg(F.sum(population).alias("population"))
-    per_state = per_state.dropna(subset=["level_id"])
+    per_state = present(per_state, "level_id")
     country = regions.agg(F.sum(population).alias("population"))
     country = country.select(F.lit(COUNTRY).cast("int").alias("level_id"), "population")
     return per_state.unionByName(country)

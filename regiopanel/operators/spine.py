@@ -16,6 +16,13 @@ def _bound(value: Bound) -> Column:
     return value if isinstance(value, Column) else F.lit(value).cast("date")
 
 
+def present(df: DataFrame, *columns: str) -> DataFrame:
+    """Rows without nulls in the columns; as plain conditions, which reach the file scan."""
+    for column in columns:
+        df = df.filter(F.col(column).isNotNull())
+    return df
+
+
 def day_bounds(fact: DataFrame, day: str = "day") -> tuple[Column, Column]:
     """First and last day of a fact as scalar subqueries, so no value visits the driver."""
     limits = fact.agg(F.min(day).alias("lo"), F.max(day).alias("hi"))
@@ -28,7 +35,7 @@ def date_spine(spark: SparkSession, start: Bound, end: Bound, day: str = "day")
 
 
 def distinct_keys(fact: DataFrame, *keys: str) -> DataFrame:
-    return fact.select(*keys).dropna().distinct()
+    return present(fact.select(*keys), *keys).distinct()
 
 
 def spine_grid(keys: DataFrame, start: Bound, end: Bound, day: str = "day") -> DataFrame:
@@ -49,7 +56,7 @@ def stack_facts(
     stacked = primary.withColumn(anchor, F.lit(True))
     for other in others:
         stacked = stacked.unionByName(other.withColumn(anchor, F.lit(False)), allowMissingColumns=True)
-    return stacked.dropna(subset=list(keys))
+    return present(stacked, *keys)
 
 
 def sum_by(fact: DataFrame, measures: Sequence[str], keys: Sequence[str] = ("geo", "day")) -> DataFrame:
@@ -66,6 +73,7 @@ def dense_panel(
     start: Bound | None = None,
     end: Bound | None = None,
     anchor: str | None = None,
+    days_of: DataFrame | None = None,
 ) -> DataFrame:
     """One zero-filled row per region and day with the summed measures.
 
@@ -73,22 +81,28 @@ def dense_panel(
     days since its predecessor.  The dense rows are never joined or shuffled, and the
     result is partitioned by region for the windows that follow.
 
-    A fact outside ``start .. end`` counts 0 but keeps its region in the panel.  With
-    ``anchor``, only regions having a row marked there are kept and the default bounds
-    are those of the marked rows.
+    A fact outside a given ``start`` or ``end`` counts 0 but keeps its region in the
+    panel.  With ``anchor``, only regions having a row marked there are kept, and days
+    beyond those of the marked rows are left out.  A bound that is not given is the first
+    or last day of ``days_of``: a cheaper source of the same days, such as one column of
+    the raw table, or else the facts themselves.
     """
-    known = fact.dropna(subset=[geo, day])
-    marked = known.filter(F.col(anchor)) if anchor else known
-    clamp = start is not None or end is not None or anchor is not None
-    lo, hi = (None, None) if start is not None and end is not None else day_bounds(marked, day)
+    known = present(fact, geo, day)
+    if days_of is None and (start is None or end is None):
+        days_of = known.filter(F.col(anchor)) if anchor else known
+    lo, hi = day_bounds(days_of, day) if days_of is not None else (None, None)
     lo = _bound(start) if start is not None else lo
     hi = _bound(end) if end is not None else hi
 
-    if clamp:
-        inside = F.col(day).between(lo, hi)
+    if start is not None or end is not None:
+        inside, clamped = F.lit(True), F.col(day)
+        if start is not None:
+            inside, clamped = inside & (F.col(day) >= lo), F.greatest(lo, clamped)
+        if end is not None:
+            inside, clamped = inside & (F.col(day) <= hi), F.least(hi, clamped)
         known = known.select(
             geo,
-            F.greatest(lo, F.least(hi, F.col(day))).alias(day),
+            clamped.alias(day),
             *[F.when(inside, F.col(m)).alias(m) for m in measures],
             *([anchor] if anchor else []),
         )
@@ -97,6 +111,8 @@ def dense_panel(
         *[F.coalesce(F.sum(F.col(m).cast("bigint")), zero).alias(m) for m in measures],
         *([F.max(anchor).alias(anchor)] if anchor else []),
     )
+    if anchor:
+        sums = sums.filter(F.col(day).between(lo, hi))
 
     by_day = Window.partitionBy(geo).orderBy(day)
     whole = by_day.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
@@ -139,5 +155,5 @@ def zero_fill_by_union(
     """
     grid = spine_grid(distinct_keys(fact, geo), start, end, day)
     zeros = grid.select("*", *[F.lit(0).cast("bigint").alias(m) for m in measures])
-    counts = sum_by(fact.dropna(subset=[geo, day]), measures, (geo, day))
+    counts = sum_by(present(fact, geo, day), measures, (geo, day))
     return sum_by(counts.unionByName(zeros), measures, (geo, day))

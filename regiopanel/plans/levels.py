@@ -68,17 +68,28 @@ def measures_of(options: Options) -> list[str]:
     return ["cases", "deaths", *[dose_column(i) for i in options.dose_levels]]
 
 
+def placed_doses(doses: DataFrame, options: Options = Options()) -> DataFrame:
+    """Doses per region, day and status.
+
+    Read several times by ``region_counts``, so worth storing when the feed is large.
+    """
+    return doses_by_status(known_places(doses), ("geo", "day"), levels=options.dose_levels)
+
+
 def region_counts(
-    cases: DataFrame, doses: DataFrame, regions: DataFrame, options: Options = Options()
+    cases: DataFrame,
+    placed: DataFrame,
+    regions: DataFrame,
+    options: Options = Options(),
+    days_of: DataFrame | None = None,
 ) -> DataFrame:
     """Dense region panel of cases, deaths and doses with the region's attributes.
 
-    Cases and doses are stacked and summed in one aggregation.  Doses of the whole city
-    are shared out over its districts by population.
+    Cases and doses (``placed_doses``) are stacked and summed in one aggregation.  Doses
+    of the whole city are shared out over its districts by population.
     """
-    levels, city = options.dose_levels, options.city
-    amounts = [dose_column(i) for i in levels]
-    placed = doses_by_status(known_places(doses), ("geo", "day"), levels=levels)
+    city = options.city
+    amounts = [dose_column(i) for i in options.dose_levels]
     whole = placed.filter(F.col("geo") == city.key).withColumnRenamed("geo", "parent")
     districts = regions.filter(city.contains() & (F.col("geo") != city.key)).select(
         F.lit(city.key).alias("parent"), "geo", "population"
@@ -86,7 +97,7 @@ def region_counts(
     shared = allocate_proportional(whole, districts, amounts).select("geo", "day", *amounts)
     facts = stack_facts(cases.select("geo", "day", "cases", "deaths"), placed, shared)
     panel = dense_panel(
-        facts, measures_of(options), start=options.start, end=options.end, anchor="is_primary"
+        facts, measures_of(options), start=options.start, end=options.end, anchor="is_primary", days_of=days_of
     )
     return attach_attributes(panel, regions.drop("nuts", "vintage"))
 

@@ -21,7 +21,7 @@ from regiopanel.operators.spine import (
     zero_fill_by_union,
 )
 from regiopanel.operators.windows import cumulate, first_event_table, window_sums
-from regiopanel.plans.levels import country_level, region_counts, region_level, state_level
+from regiopanel.plans.levels import country_level, region_level, state_level
 from regiopanel.plans.reference_sql import (
     DAY_SERIES,
     indicator_columns,
@@ -38,7 +38,7 @@ DOSES = ["doses_1", "doses_2", "doses_3"]
 
 def peopled_panel(s: Standins) -> DataFrame:
     """Dense case panel with the regions' attributes."""
-    return attach_attributes(dense_panel(s.cases, COUNTS), s.regions.drop("nuts", "vintage"))
+    return attach_attributes(dense_panel(s.cases, COUNTS, days_of=s.case_days), s.regions.drop("nuts", "vintage"))
 
 
 def case_indicators(s: Standins, **options) -> DataFrame:
@@ -50,7 +50,7 @@ def case_indicators(s: Standins, **options) -> DataFrame:
 
 @register("SRC-06 DAT-04", with_parts("SELECT day FROM days", "days"))
 def date_spine_days(s: Standins) -> DataFrame:
-    return date_spine(s.spark, *day_bounds(s.cases))
+    return date_spine(s.spark, *day_bounds(s.case_days))
 
 
 @register("SRC-07 AGG-07", with_parts("SELECT DISTINCT geo FROM fact", "fact"), "distinct_keys")
@@ -60,7 +60,7 @@ def distinct_regions(s: Standins) -> DataFrame:
 
 @register("JOIN-01 SRC-06 SRC-07", with_parts("SELECT geo, day FROM grid", "grid"))
 def spine_by_key(s: Standins) -> DataFrame:
-    return spine_grid(distinct_keys(s.cases, "geo"), *day_bounds(s.cases))
+    return spine_grid(distinct_keys(s.cases, "geo"), *day_bounds(s.case_days))
 
 
 @register("AGG-01", with_parts("SELECT geo, day, cases, deaths FROM counted", "counted"))
@@ -70,7 +70,7 @@ def sums_by_region_day(s: Standins) -> DataFrame:
 
 @register("DOM-01 JOIN-01 JOIN-04 PRJ-09 AGG-01", with_parts("SELECT geo, day, cases, deaths FROM panel", "panel"), "dense_panel")
 def dense_case_panel(s: Standins) -> DataFrame:
-    return dense_panel(s.cases, COUNTS)
+    return dense_panel(s.cases, COUNTS, days_of=s.case_days)
 
 
 PANEL_YEAR = ("1996-01-01", "1996-12-31")
@@ -137,7 +137,7 @@ def panel_with_attributes(s: Standins) -> DataFrame:
     with_parts("SELECT geo, day, cases, deaths, cases_cum, deaths_cum FROM peopled_totals", "peopled_totals"),
 )
 def running_totals(s: Standins) -> DataFrame:
-    return cumulate(dense_panel(s.cases, COUNTS), COUNTS)
+    return cumulate(dense_panel(s.cases, COUNTS, days_of=s.case_days), COUNTS)
 
 
 FRAMED = """SELECT p.geo, p.day, {columns} FROM peopled_totals p
@@ -157,7 +157,7 @@ FRAMED = """SELECT p.geo, p.day, {columns} FROM peopled_totals p
 def trailing_sums(s: Standins) -> DataFrame:
     from regiopanel.operators.windows import FRAMES, dense_window_sums
 
-    totals = cumulate(dense_panel(s.cases, ["cases"]), ["cases"])
+    totals = cumulate(dense_panel(s.cases, ["cases"], days_of=s.case_days), ["cases"])
     return dense_window_sums(totals, "cases_cum").select("geo", "day", *FRAMES)
 
 
@@ -274,9 +274,10 @@ def doses_pivot(s: Standins) -> DataFrame:
         + " FROM region_totals WHERE NOT is_subtotal)",
         "region_totals",
     ),
+    store=True,
 )
 def dose_quota(s: Standins) -> DataFrame:
-    table = indicators(region_counts(s.cases, s.doses, s.regions, OPTIONS))
+    table = indicators(s.counts)
     return table.select("geo", "day", "dose_quota_1", "dose_quota_2", "dose_quota_3")
 
 
@@ -360,10 +361,10 @@ def city_row(s: Standins) -> DataFrame:
 @register(
     "DOM-15 FLT-01 JOIN-05 PRJ-08",
     with_parts("SELECT geo, day, doses_1, doses_2, doses_3, population FROM by_country", "by_country"),
+    store=True,
 )
 def unknown_location(s: Standins) -> DataFrame:
-    counts = region_counts(s.cases, s.doses, s.regions, OPTIONS)
-    country = rollup_country(counts, [*DOSES, "population"])
+    country = rollup_country(s.counts, [*DOSES, "population"])
     return add_unknown_place_doses(country, doses_by_status(unknown_places(s.doses), ("day",)))
 
 
@@ -391,17 +392,15 @@ ROLLED_COLUMNS = [
 ]
 
 
-@register("DOM-14 AGG-14 JOIN-09 MTH-02 AGG-08 FN-02", _level_sql("state"), "rollup_state")
+@register("DOM-14 AGG-14 JOIN-09 MTH-02 AGG-08 FN-02", _level_sql("state"), "rollup_state", store=True)
 def state_indicators(s: Standins) -> DataFrame:
-    counts = region_counts(s.cases, s.doses, s.regions, OPTIONS)
-    rolled = rollup_state(counts, [*COUNTS, *DOSES, "population"], s.regions)
+    rolled = rollup_state(s.counts, [*COUNTS, *DOSES, "population"], s.regions)
     return indicators(rolled, geo="state").select("state", "state_name", *ROLLED_COLUMNS)
 
 
-@register("DOM-14 AGG-02 AGG-16 FN-02", _level_sql("country"), "rollup_country")
+@register("DOM-14 AGG-02 AGG-16 FN-02", _level_sql("country"), "rollup_country", store=True)
 def country_indicators(s: Standins) -> DataFrame:
-    counts = region_counts(s.cases, s.doses, s.regions, OPTIONS)
-    rolled = rollup_country(counts, [*COUNTS, *DOSES, "population"])
+    rolled = rollup_country(s.counts, [*COUNTS, *DOSES, "population"])
     rolled = add_unknown_place_doses(rolled, doses_by_status(unknown_places(s.doses), ("day",)))
     return indicators(rolled).select("geo", *ROLLED_COLUMNS)
 
@@ -480,10 +479,10 @@ def crosswalk_of(s: Standins) -> DataFrame:
     "DOM-01 DOM-02 DOM-03 DOM-04 DOM-05 DOM-06 DOM-07 DOM-08 DOM-09 DOM-10 DOM-11 DOM-12 DOM-13 DOM-16 DOM-18 DOM-19 "
     "DOM-20 DOM-21 FN-01 FN-03 FN-05",
     _region_sql(),
+    store=True,
 )
 def affectedness_region(s: Standins) -> DataFrame:
-    counts = region_counts(s.cases, s.doses, s.regions, OPTIONS)
-    table = region_level(counts, crosswalk_of(s), s.mobility_region, s.icu, s.hospital, s.regions, OPTIONS)
+    table = region_level(s.counts, crosswalk_of(s), s.mobility_region, s.icu, s.hospital, s.regions, OPTIONS)
     parents = [c + "_parent" for c in ICU_COLUMNS]
     return table.select(
         "geo", "day", "state", "name", "kind", "is_subtotal", *LEVEL_COLUMNS, *INDICATOR_COLUMNS, *MOBILITY_COLUMNS,
@@ -491,20 +490,18 @@ def affectedness_region(s: Standins) -> DataFrame:
     )
 
 
-@register("DOM-14 DOM-18 DOM-19 DOM-21 FN-02 FN-05", _state_sql())
+@register("DOM-14 DOM-18 DOM-19 DOM-21 FN-02 FN-05", _state_sql(), store=True)
 def affectedness_state(s: Standins) -> DataFrame:
-    counts = region_counts(s.cases, s.doses, s.regions, OPTIONS)
-    table = state_level(counts, s.mobility_state, s.icu, s.hospital, s.regions, OPTIONS)
+    table = state_level(s.counts, s.mobility_state, s.icu, s.hospital, s.regions, OPTIONS)
     return table.select(
         "state", "day", "state_name", *LEVEL_COLUMNS, *INDICATOR_COLUMNS, *MOBILITY_COLUMNS, *ICU_COLUMNS,
         "hospital_incidence",
     )
 
 
-@register("DOM-14 DOM-15 DOM-18 DOM-19 DOM-21 FN-02 FN-05", _country_sql())
+@register("DOM-14 DOM-15 DOM-18 DOM-19 DOM-21 FN-02 FN-05", _country_sql(), store=True)
 def affectedness_country(s: Standins) -> DataFrame:
-    counts = region_counts(s.cases, s.doses, s.regions, OPTIONS)
-    table = country_level(counts, s.doses, s.mobility_country, s.icu, s.hospital, s.regions, OPTIONS)
+    table = country_level(s.counts, s.doses, s.mobility_country, s.icu, s.hospital, s.regions, OPTIONS)
     return table.select(
         "day", *LEVEL_COLUMNS, *INDICATOR_COLUMNS, *MOBILITY_COLUMNS, *ICU_COLUMNS, "hospital_incidence"
     )
@@ -542,4 +539,3 @@ def event_r_values(s: Standins) -> DataFrame:
     return indicators(panel, dose_levels=(), mask=False).select("geo", "day", "cases", "r4")
 
 
-__all__ = ["case_indicators", "crosswalk_of", "peopled_panel", "round_ratio"]

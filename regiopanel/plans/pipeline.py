@@ -16,6 +16,7 @@ from regiopanel.plans.levels import (
     Options,
     country_level,
     extended_layout,
+    placed_doses,
     plain_layout,
     region_counts,
     region_level,
@@ -111,7 +112,8 @@ class Pipeline:
 
     def _region(self) -> None:
         regions = self.table("regions")
-        counts = region_counts(self.table("cases"), self.table("doses_stamped"), regions, self.options)
+        placed = self.store("doses_by_region", placed_doses(self.table("doses"), self.options))
+        counts = region_counts(self.table("cases"), placed, regions, self.options)
         counts = self.store("region_counts", counts)
         table = region_level(
             counts,

@@ -6,7 +6,7 @@ from __future__ import annotations
 def rounded(num: str, den: str, digits: int, scale: int = 1) -> str:
     """Ratio rounded half away from zero, on wide integers; null if there is no denominator."""
     n, d, f = f"CAST({num} AS HUGEINT)", f"CAST({den} AS HUGEINT)", 10**digits * scale
-    whole = f"sign({n}) * ((2 * abs({n}) * {f} + {d}) // (2 * {d}))"
+    whole = f"sign({n}) * sign({d}) * ((2 * abs({n}) * {f} + abs({d})) // (2 * abs({d})))"
     return f"(CASE WHEN {d} <> 0 THEN CAST({whole} AS DOUBLE) / CAST({10**digits} AS DOUBLE) END)"
 
 

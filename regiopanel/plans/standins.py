@@ -15,7 +15,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from regiopanel.functions import int_div, round_ratio
-from regiopanel.plans.levels import City, Options
+from regiopanel.operators.spine import sum_by
+from regiopanel.plans.levels import City, Options, placed_doses, region_counts
+from regiopanel.session import stored
 
 CITY = City(key=1000, lo=1000, hi=2000, name="Whole city", kind="city")
 OPTIONS = Options(city=CITY)
@@ -43,12 +45,14 @@ class Standins:
     """The feeds of one data folder.
 
     Dimension joins carry no broadcast hint: Spark broadcasts a side it knows to be
-    small and shuffles otherwise, splitting skewed partitions at run time.
+    small and shuffles otherwise, splitting skewed partitions at run time.  With
+    ``store``, the daily counts several feeds share are written to the shared folder once.
     """
 
-    def __init__(self, spark: SparkSession, folder: str):
+    def __init__(self, spark: SparkSession, folder: str, store: bool = False):
         self.spark = spark
         self.folder = folder.rstrip("/")
+        self._store = store
 
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
@@ -70,6 +74,18 @@ class Standins:
             (F.col("o_orderstatus") == "F").cast("bigint").alias("deaths"),
         )
 
+    @cached_property
+    def case_days(self) -> DataFrame:
+        """Report days alone; their first and last need one column and no join."""
+        return self.table("orders").select(F.col("o_orderdate").cast("date").alias("day"))
+
+    @cached_property
+    def daily_cases(self) -> DataFrame:
+        return self._kept(sum_by(self.cases, ["cases", "deaths"]), "daily_cases")
+
+    def _kept(self, df: DataFrame, name: str) -> DataFrame:
+        return stored(df, name) if self._store else df
+
     @cached_property
     def population(self) -> DataFrame:
         counts = self.table("customer").groupBy("c_nationkey").agg(F.count("*").alias("population"))
@@ -80,7 +96,7 @@ class Standins:
         """geo, population, name, kind, state, state_name, nuts, vintage."""
         states = self.table("region").select(F.col("r_regionkey").alias("n_regionkey"), "r_name")
         known = ~F.col("n_nationkey").isin(REPAIRED_NATION, LOST_NATION) & (F.col("n_regionkey") > 0)
-        return (
+        regions = (
             self.nations.join(states, "n_regionkey")
             .join(self.population, "n_nationkey", "left")
             .select(
@@ -94,6 +110,7 @@ class Standins:
                 F.lit("2001-12-31").cast("date").alias("vintage"),
             )
         )
+        return self._kept(regions, "regions")
 
     @staticmethod
     def _nuts() -> Column:
@@ -118,7 +135,7 @@ class Standins:
     @cached_property
     def line_days(self) -> DataFrame:
         """Counts per place, day and status: the one pass over the lines the feeds share."""
-        return self.lines.groupBy("n_nationkey", "geo", "nuts", "day", "l_returnflag").agg(
+        counts = self.lines.groupBy("n_nationkey", "geo", "nuts", "day", "l_returnflag").agg(
             F.count("*").alias("n"),
             _count(F.col("l_linestatus") == "O").alias("n_open"),
             _count((F.col("l_linestatus") == "O") & (F.col("l_quantity") > 25)).alias("n_heavy"),
@@ -126,6 +143,17 @@ class Standins:
             F.sum(_percent("l_discount") - 5).alias("discount"),
             F.sum(_percent("l_tax")).alias("tax"),
         )
+        return self._kept(counts, "line_days")
+
+    @cached_property
+    def placed(self) -> DataFrame:
+        return self._kept(placed_doses(self.doses, OPTIONS), "placed_doses")
+
+    @cached_property
+    def counts(self) -> DataFrame:
+        """Dense region panel of cases, deaths and doses."""
+        panel = region_counts(self.daily_cases, self.placed, self.regions, OPTIONS, days_of=self.daily_cases)
+        return self._kept(panel, "region_counts")
 
     @cached_property
     def doses(self) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings the plans are written for.  ``requireAllClusterKeysForCoPartition`` off lets a
 # (geo, day) join reuse the (geo) partitioning the windows leave behind, so the dense
@@ -48,3 +48,14 @@ def shared_folder(spark: SparkSession) -> str:
 def fresh_path(spark: SparkSession, name: str) -> str:
     """Unused path below the shared folder."""
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` to an unused path below the shared folder and read it back.
+
+    For intermediates with several consumers: the work before is done once, is not
+    repeated when an executor is lost, and Spark knows the exact size for its joins.
+    """
+    path = fresh_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
