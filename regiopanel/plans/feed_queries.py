@@ -18,11 +18,10 @@ from regiopanel.functions import (
     ratio_or_zero,
     round_ratio,
 )
-from regiopanel.operators.crosswalk import build_crosswalk, crosswalk_report, postal_codes, postal_regions
+from regiopanel.operators.crosswalk import crosswalk_report, postal_codes, postal_regions
 from regiopanel.operators.doses import unexpected_levels, unknown_places
 from regiopanel.operators.enrich import (
     ICU,
-    ICU_SUMS,
     MOBILITY,
     enrich,
     hospital_incidence,
@@ -30,7 +29,6 @@ from regiopanel.operators.enrich import (
     inherit_parent,
     mobility_by_region,
 )
-from regiopanel.operators.indicators import indicators
 from regiopanel.operators.quality import (
     distinct_counts,
     duplicate_keys,
@@ -43,7 +41,6 @@ from regiopanel.operators.quality import (
 from regiopanel.operators.rollup import population_by_level, rollup_country, rollup_state
 from regiopanel.operators.spine import dense_panel
 from regiopanel.operators.vintage import latest, stamp_vintage, stamp_vintages
-from regiopanel.operators.windows import cumulate
 from regiopanel.plans.panel_queries import case_indicators, crosswalk_of, peopled_panel
 from regiopanel.plans.reference_sql import indicator_columns, or_zero, rounded, with_parts
 from regiopanel.plans.registry import register
@@ -52,7 +49,7 @@ from regiopanel.session import fresh_path
 from regiopanel.sinks.exports import formatted, replace_table, scan_table, write_delimited
 from regiopanel.sources.archives import unzip_rows, zip_partitions
 from regiopanel.sources.feeds import Feed
-from regiopanel.sources.readers import apply_types, lowercase_columns, read_declared, read_feed
+from regiopanel.sources.readers import apply_types, lowercase_columns, read_feed
 
 # --- crosswalk ---------------------------------------------------------------------------
 
@@ -73,7 +70,7 @@ def crosswalk_pairs(s: Standins) -> DataFrame:
         "mob_region",
         "crosswalk",
     ),
-    store=True,
+    store="line_days",
 )
 def crosswalk_unmatched(s: Standins) -> DataFrame:
     return crosswalk_report(crosswalk_of(s), s.mobility_region)["codes_without_region"]
@@ -127,7 +124,7 @@ MOBILITY_LIST = ", ".join(MOBILITY)
         "mob_region",
         "crosswalk",
     ),
-    store=True,
+    store="line_days",
 )
 def mobility_join_key_date(s: Standins) -> DataFrame:
     panel = dense_panel(s.cases, ["cases"], days_of=s.case_days)
@@ -144,7 +141,7 @@ def mobility_join_key_date(s: Standins) -> DataFrame:
         "peopled",
         "mob_state",
     ),
-    store=True,
+    store="line_days",
 )
 def mobility_join_name_date(s: Standins) -> DataFrame:
     rolled = rollup_state(peopled_panel(s), ["cases"], s.regions)
@@ -420,7 +417,7 @@ def days_without_case(s: Standins) -> DataFrame:
         "peopled_frames",
     ),
     "profile_nulls",
-    store=True,
+    store="line_days",
 )
 def panel_nulls(s: Standins) -> DataFrame:
     table = case_indicators(s).select("geo", "day", "cases", "r4", "r7")
@@ -748,6 +745,3 @@ def export_formatted(s: Standins) -> DataFrame:
     """Lines of an export with German dates, padded keys and percentages, as written."""
     style = {"decimal_mark": ".", "german_days": True, "percent": ["infection_rate"], "padded": {"geo": 5}}
     return _exported_lines(s, _exported_panel(s), **style)
-
-
-

@@ -46,6 +46,14 @@ class City:
     def contains(self, geo: str = "geo") -> Column:
         return (F.col(geo) >= self.lo) & (F.col(geo) < self.hi)
 
+    def districts(self, regions: DataFrame) -> DataFrame:
+        """The city's districts as members of a parent.
+
+        The parent key depends on the row: joins on a plain literal would lose their key.
+        """
+        parent = F.when(self.contains(), self.key).alias("parent")
+        return regions.select(parent, "geo", "population").filter(self.contains() & (F.col("geo") != self.key))
+
 
 # The one city whose districts report cases while doses are published
 # for the whole.
@@ -91,10 +99,7 @@ def region_counts(
     city = options.city
     amounts = [dose_column(i) for i in options.dose_levels]
     whole = placed.filter(F.col("geo") == city.key).withColumnRenamed("geo", "parent")
-    districts = regions.filter(city.contains() & (F.col("geo") != city.key)).select(
-        F.lit(city.key).alias("parent"), "geo", "population"
-    )
-    shared = allocate_proportional(whole, districts, amounts).select("geo", "day", *amounts)
+    shared = allocate_proportional(whole, city.districts(regions), amounts).select("geo", "day", *amounts)
     facts = stack_facts(cases.select("geo", "day", "cases", "deaths"), placed, shared)
     panel = dense_panel(
         facts, measures_of(options), start=options.start, end=options.end, anchor="is_primary", days_of=days_of

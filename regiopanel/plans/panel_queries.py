@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from regiopanel.functions import int_div, round_ratio
+from regiopanel.functions import int_div
 from regiopanel.operators.allocate import allocate_proportional, allocation_residuals, append_subtotal
+from regiopanel.operators.crosswalk import build_crosswalk, postal_codes, postal_regions
 from regiopanel.operators.doses import add_unknown_place_doses, doses_by_status, known_places, unknown_places
 from regiopanel.operators.indicators import indicators
 from regiopanel.operators.rollup import attach_attributes, rollup_country, rollup_levels, rollup_state
@@ -20,7 +21,7 @@ from regiopanel.operators.spine import (
     sum_by,
     zero_fill_by_union,
 )
-from regiopanel.operators.windows import cumulate, first_event_table, window_sums
+from regiopanel.operators.windows import FRAMES, cumulate, dense_window_sums, first_event_table, window_sums
 from regiopanel.plans.levels import country_level, region_level, state_level
 from regiopanel.plans.reference_sql import (
     DAY_SERIES,
@@ -155,8 +156,6 @@ FRAMED = """SELECT p.geo, p.day, {columns} FROM peopled_totals p
     "window_frames",
 )
 def trailing_sums(s: Standins) -> DataFrame:
-    from regiopanel.operators.windows import FRAMES, dense_window_sums
-
     totals = cumulate(dense_panel(s.cases, ["cases"], days_of=s.case_days), ["cases"])
     return dense_window_sums(totals, "cases_cum").select("geo", "day", *FRAMES)
 
@@ -274,7 +273,7 @@ def doses_pivot(s: Standins) -> DataFrame:
         + " FROM region_totals WHERE NOT is_subtotal)",
         "region_totals",
     ),
-    store=True,
+    store="placed regions",
 )
 def dose_quota(s: Standins) -> DataFrame:
     table = indicators(s.counts)
@@ -283,9 +282,7 @@ def dose_quota(s: Standins) -> DataFrame:
 
 def _city_parts(s: Standins) -> tuple[DataFrame, DataFrame]:
     whole = doses_by_status(known_places(s.doses)).filter(F.col("geo") == CITY.key)
-    districts = s.regions.filter(CITY.contains() & (F.col("geo") != CITY.key))
-    members = districts.select(F.lit(CITY.key).alias("parent"), "geo", "population")
-    return whole.withColumnRenamed("geo", "parent"), members
+    return whole.withColumnRenamed("geo", "parent"), CITY.districts(s.regions)
 
 
 @register(
@@ -361,7 +358,7 @@ def city_row(s: Standins) -> DataFrame:
 @register(
     "DOM-15 FLT-01 JOIN-05 PRJ-08",
     with_parts("SELECT geo, day, doses_1, doses_2, doses_3, population FROM by_country", "by_country"),
-    store=True,
+    store="line_days regions",
 )
 def unknown_location(s: Standins) -> DataFrame:
     country = rollup_country(s.counts, [*DOSES, "population"])
@@ -392,13 +389,13 @@ ROLLED_COLUMNS = [
 ]
 
 
-@register("DOM-14 AGG-14 JOIN-09 MTH-02 AGG-08 FN-02", _level_sql("state"), "rollup_state", store=True)
+@register("DOM-14 AGG-14 JOIN-09 MTH-02 AGG-08 FN-02", _level_sql("state"), "rollup_state", store="placed regions")
 def state_indicators(s: Standins) -> DataFrame:
     rolled = rollup_state(s.counts, [*COUNTS, *DOSES, "population"], s.regions)
     return indicators(rolled, geo="state").select("state", "state_name", *ROLLED_COLUMNS)
 
 
-@register("DOM-14 AGG-02 AGG-16 FN-02", _level_sql("country"), "rollup_country", store=True)
+@register("DOM-14 AGG-02 AGG-16 FN-02", _level_sql("country"), "rollup_country", store="line_days regions")
 def country_indicators(s: Standins) -> DataFrame:
     rolled = rollup_country(s.counts, [*COUNTS, *DOSES, "population"])
     rolled = add_unknown_place_doses(rolled, doses_by_status(unknown_places(s.doses), ("day",)))
@@ -468,8 +465,6 @@ def _country_sql() -> str:
 
 
 def crosswalk_of(s: Standins) -> DataFrame:
-    from regiopanel.operators.crosswalk import build_crosswalk, postal_codes, postal_regions
-
     return build_crosswalk(
         s.regions, postal_codes(s.postal_nuts), postal_regions(s.postal_keys), s.mobility_region, (CITY.lo, CITY.hi)
     )
@@ -479,7 +474,7 @@ def crosswalk_of(s: Standins) -> DataFrame:
     "DOM-01 DOM-02 DOM-03 DOM-04 DOM-05 DOM-06 DOM-07 DOM-08 DOM-09 DOM-10 DOM-11 DOM-12 DOM-13 DOM-16 DOM-18 DOM-19 "
     "DOM-20 DOM-21 FN-01 FN-03 FN-05",
     _region_sql(),
-    store=True,
+    store="line_days regions counts",
 )
 def affectedness_region(s: Standins) -> DataFrame:
     table = region_level(s.counts, crosswalk_of(s), s.mobility_region, s.icu, s.hospital, s.regions, OPTIONS)
@@ -490,7 +485,7 @@ def affectedness_region(s: Standins) -> DataFrame:
     )
 
 
-@register("DOM-14 DOM-18 DOM-19 DOM-21 FN-02 FN-05", _state_sql(), store=True)
+@register("DOM-14 DOM-18 DOM-19 DOM-21 FN-02 FN-05", _state_sql(), store="line_days regions")
 def affectedness_state(s: Standins) -> DataFrame:
     table = state_level(s.counts, s.mobility_state, s.icu, s.hospital, s.regions, OPTIONS)
     return table.select(
@@ -499,7 +494,7 @@ def affectedness_state(s: Standins) -> DataFrame:
     )
 
 
-@register("DOM-14 DOM-15 DOM-18 DOM-19 DOM-21 FN-02 FN-05", _country_sql(), store=True)
+@register("DOM-14 DOM-15 DOM-18 DOM-19 DOM-21 FN-02 FN-05", _country_sql(), store="line_days regions")
 def affectedness_country(s: Standins) -> DataFrame:
     table = country_level(s.counts, s.doses, s.mobility_country, s.icu, s.hospital, s.regions, OPTIONS)
     return table.select(
@@ -537,5 +532,3 @@ def event_r_values(s: Standins) -> DataFrame:
     )
     panel = dense_panel(events, COUNTS).withColumn("population", F.lit(None).cast("bigint"))
     return indicators(panel, dose_levels=(), mask=False).select("geo", "day", "cases", "r4")
-
-

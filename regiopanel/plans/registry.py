@@ -20,17 +20,17 @@ class Query:
 REGISTRY: dict[str, Query] = {}
 
 
-def register(covers: str, sql: str | None = None, name: str | None = None, store: bool = False):
+def register(covers: str, sql: str | None = None, name: str | None = None, store: str = ""):
     """Register a function of the stand-in feeds under its own name.
 
-    ``store`` is for queries reading the daily counts many times.
+    ``store`` names the intermediates the query reads several times.
     """
 
     def add(build: Callable[[Standins], DataFrame]) -> Callable[[Standins], DataFrame]:
         key = name or build.__name__
         if key in REGISTRY:
             raise ValueError(f"query {key} is registered twice")
-        REGISTRY[key] = Query(lambda spark, folder: build(Standins(spark, folder, store)), sql, tuple(covers.split()))
+        REGISTRY[key] = Query(lambda spark, folder: build(Standins(spark, folder, store.split())), sql, tuple(covers.split()))
         return build
 
     return add

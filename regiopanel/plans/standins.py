@@ -9,13 +9,13 @@ that some feeds publish as a whole, one nation's doses have no known place.
 
 from __future__ import annotations
 
+from collections.abc import Collection
 from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from regiopanel.functions import int_div, round_ratio
-from regiopanel.operators.spine import sum_by
 from regiopanel.plans.levels import City, Options, placed_doses, region_counts
 from regiopanel.session import stored
 
@@ -45,17 +45,20 @@ class Standins:
     """The feeds of one data folder.
 
     Dimension joins carry no broadcast hint: Spark broadcasts a side it knows to be
-    small and shuffles otherwise, splitting skewed partitions at run time.  With
-    ``store``, the daily counts several feeds share are written to the shared folder once.
+    small and shuffles otherwise, splitting skewed partitions at run time.  ``store``
+    names intermediates with several consumers, which are written to the shared folder.
     """
 
-    def __init__(self, spark: SparkSession, folder: str, store: bool = False):
+    def __init__(self, spark: SparkSession, folder: str, store: Collection[str] = ()):
         self.spark = spark
         self.folder = folder.rstrip("/")
-        self._store = store
+        self._store = frozenset(store)
+        self._tables: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        if name not in self._tables:
+            self._tables[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self._tables[name]
 
     @cached_property
     def nations(self) -> DataFrame:
@@ -79,12 +82,8 @@ class Standins:
         """Report days alone; their first and last need one column and no join."""
         return self.table("orders").select(F.col("o_orderdate").cast("date").alias("day"))
 
-    @cached_property
-    def daily_cases(self) -> DataFrame:
-        return self._kept(sum_by(self.cases, ["cases", "deaths"]), "daily_cases")
-
     def _kept(self, df: DataFrame, name: str) -> DataFrame:
-        return stored(df, name) if self._store else df
+        return stored(df, name) if name in self._store else df
 
     @cached_property
     def population(self) -> DataFrame:
@@ -147,13 +146,13 @@ class Standins:
 
     @cached_property
     def placed(self) -> DataFrame:
-        return self._kept(placed_doses(self.doses, OPTIONS), "placed_doses")
+        return self._kept(placed_doses(self.doses, OPTIONS), "placed")
 
     @cached_property
     def counts(self) -> DataFrame:
         """Dense region panel of cases, deaths and doses."""
-        panel = region_counts(self.daily_cases, self.placed, self.regions, OPTIONS, days_of=self.daily_cases)
-        return self._kept(panel, "region_counts")
+        panel = region_counts(self.cases, self.placed, self.regions, OPTIONS, days_of=self.case_days)
+        return self._kept(panel, "counts")
 
     @cached_property
     def doses(self) -> DataFrame:

@@ -66,7 +66,7 @@ def replace_table(df: DataFrame, path: str) -> DataFrame:
     bring back the work before it.  ``df`` must not read from ``path`` itself.
     """
     df.write.mode("overwrite").parquet(path)
-    return scan_table(df.sparkSession, path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def scan_table(spark: SparkSession, path: str) -> DataFrame:
