@@ -35,6 +35,18 @@ def enrich(
     return joined if fill is None else joined.fillna(fill, subset=list(columns))
 
 
+def merge_feeds(on: Sequence[str], *feeds: DataFrame) -> DataFrame:
+    """Feeds with the same key side by side, so that a panel is joined to them once."""
+    merged = feeds[0]
+    for feed in feeds[1:]:
+        merged = merged.join(feed, list(on), "full")
+    return merged
+
+
+def with_suffix(feed: DataFrame, columns: Sequence[str], suffix: str = "_parent") -> DataFrame:
+    return feed.withColumnsRenamed({c: c + suffix for c in columns})
+
+
 def mobility_by_region(mobility: DataFrame, crosswalk: DataFrame) -> DataFrame:
     """Mobility of each region key, from a series keyed by regional code."""
     return mobility.join(crosswalk, "nuts").drop("nuts")
@@ -56,7 +68,7 @@ def inherit_parent(
     day: str = "day",
 ) -> DataFrame:
     """Values of the parent level on each child row, under suffixed names."""
-    renamed = parent_feed.select(parent, day, *[F.col(c).alias(c + suffix) for c in columns])
+    renamed = with_suffix(parent_feed.select(parent, day, *columns), columns, suffix)
     return panel.join(renamed, [parent, day], "left")
 
 

@@ -16,8 +16,9 @@ from regiopanel.operators.enrich import (
     enrich,
     hospital_incidence,
     icu_occupancy,
-    inherit_parent,
+    merge_feeds,
     mobility_by_region,
+    with_suffix,
 )
 from regiopanel.operators.indicators import DOSE_LEVELS, dose_column, indicators
 from regiopanel.operators.rollup import (
@@ -130,13 +131,22 @@ def region_level(
             [*measures_of(options), "population"],
         )
     table = indicators(counts, dose_levels=options.dose_levels, mask=options.mask, missing=options.missing)
-    table = enrich(table, mobility_by_region(mobility, crosswalk), ("geo", "day"), MOBILITY, fill)
-    table = enrich(table, icu_occupancy(icu, ("geo", "day")), ("geo", "day"), ICU, fill)
-    table = inherit_parent(table, icu_occupancy(icu, ("state", "day")), "state", ICU)
-    by_state = hospital_incidence(hospital, population_by_level(regions))
-    by_state = by_state.withColumnRenamed("level_id", "state")
-    table = enrich(table, by_state, ("state", "day"), ["hospital_incidence"], fill)
-    return table if fill is None else table.fillna(fill, subset=[c + "_parent" for c in ICU])
+    region_feeds = merge_feeds(
+        ("geo", "day"), mobility_by_region(mobility, crosswalk), icu_occupancy(icu, ("geo", "day"))
+    )
+    state_feeds = merge_feeds(
+        ("state", "day"),
+        with_suffix(icu_occupancy(icu, ("state", "day")), ICU),
+        _hospital_by_state(hospital, regions),
+    )
+    table = enrich(table, region_feeds, ("geo", "day"), [*MOBILITY, *ICU], fill)
+    parents = [c + "_parent" for c in ICU]
+    return enrich(table, state_feeds, ("state", "day"), [*parents, "hospital_incidence"], fill)
+
+
+def _hospital_by_state(hospital: DataFrame, regions: DataFrame) -> DataFrame:
+    by_level = hospital_incidence(hospital, population_by_level(regions))
+    return by_level.withColumnRenamed("level_id", "state")
 
 
 def state_level(
@@ -152,11 +162,11 @@ def state_level(
     table = indicators(
         rolled, geo="state", dose_levels=options.dose_levels, mask=options.mask, missing=options.missing
     )
+    state_feeds = merge_feeds(
+        ("state", "day"), icu_occupancy(icu, ("state", "day")), _hospital_by_state(hospital, regions)
+    )
     table = enrich(table, mobility, ("state_name", "day"), MOBILITY, options.fill)
-    table = enrich(table, icu_occupancy(icu, ("state", "day")), ("state", "day"), ICU, options.fill)
-    by_state = hospital_incidence(hospital, population_by_level(regions))
-    by_state = by_state.withColumnRenamed("level_id", "state")
-    return enrich(table, by_state, ("state", "day"), ["hospital_incidence"], options.fill)
+    return enrich(table, state_feeds, ("state", "day"), [*ICU, "hospital_incidence"], options.fill)
 
 
 def country_level(
@@ -173,10 +183,9 @@ def country_level(
     unknown = doses_by_status(unknown_places(doses), ("day",), levels=options.dose_levels)
     rolled = add_unknown_place_doses(rolled, unknown, levels=options.dose_levels)
     table = indicators(rolled, dose_levels=options.dose_levels, mask=options.mask, missing=options.missing)
-    table = enrich(table, mobility, ("day",), MOBILITY, options.fill)
-    table = enrich(table, icu_occupancy(icu, ("day",)), ("day",), ICU, options.fill)
     overall = hospital_incidence(hospital.filter(F.col("level_id") == COUNTRY), population_by_level(regions))
-    return enrich(table, overall, ("day",), ["hospital_incidence"], options.fill)
+    feeds = merge_feeds(("day",), mobility, icu_occupancy(icu, ("day",)), overall.drop("level_id"))
+    return enrich(table, feeds, ("day",), [*MOBILITY, *ICU, "hospital_incidence"], options.fill)
 
 
 # Published column names, by canonical name.  The first layout is the plain

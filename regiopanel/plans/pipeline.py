@@ -22,7 +22,7 @@ from regiopanel.plans.levels import (
     region_level,
     state_level,
 )
-from regiopanel.session import shared_folder
+from regiopanel.session import shared_folder, tune
 from regiopanel.sinks.exports import export_levels, replace_table, scan_table
 from regiopanel.sources.feeds import Feed
 from regiopanel.sources.readers import load_feeds
@@ -59,7 +59,7 @@ class Pipeline:
         folder: str | None = None,
         options: Options = Options(),
     ):
-        self.spark = spark
+        self.spark = tune(spark)
         self.feeds = feeds
         self.folder = (folder or f"{shared_folder(spark)}/regiopanel").rstrip("/")
         self.options = options

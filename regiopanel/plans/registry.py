@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from regiopanel.plans.standins import Standins
+from regiopanel.session import tune
 
 
 @dataclass(frozen=True)
@@ -30,7 +31,7 @@ def register(covers: str, sql: str | None = None, name: str | None = None, store
         key = name or build.__name__
         if key in REGISTRY:
             raise ValueError(f"query {key} is registered twice")
-        REGISTRY[key] = Query(lambda spark, folder: build(Standins(spark, folder, store.split())), sql, tuple(covers.split()))
+        REGISTRY[key] = Query(lambda spark, folder: build(Standins(tune(spark), folder, store.split())), sql, tuple(covers.split()))
         return build
 
     return add

@@ -117,24 +117,33 @@ class Standins:
         return F.when(F.col("n_regionkey") == 0, "N00").otherwise(F.format_string("N%02d", "n_nationkey"))
 
     @cached_property
-    def _suppliers(self) -> DataFrame:
-        """Supplier with the key its counts are published under: the city as a whole."""
+    def _places(self) -> DataFrame:
+        """Nation with the key and code its counts are published under: the city as a whole."""
         key = F.when(F.col("n_regionkey") == 0, CITY.key).otherwise(F.col("geo")).cast("int")
-        joined = self.table("supplier").join(self.nations, F.col("s_nationkey") == F.col("n_nationkey"))
-        return joined.select(
-            "s_suppkey", "s_nationkey", key.alias("geo"), self._nuts().alias("nuts"), "n_nationkey"
-        )
+        return self.nations.select("n_nationkey", key.alias("geo"), self._nuts().alias("nuts"))
+
+    @cached_property
+    def _suppliers(self) -> DataFrame:
+        suppliers = self.table("supplier").select("s_suppkey", F.col("s_nationkey").alias("n_nationkey"))
+        return suppliers.join(self._places, "n_nationkey")
 
     @cached_property
     def lines(self) -> DataFrame:
-        """Shipped lines with their place."""
+        """Shipped lines with their supplier's nation."""
         lines = self.table("lineitem").withColumn("day", F.col("l_shipdate").cast("date"))
-        return lines.join(self._suppliers, F.col("l_suppkey") == F.col("s_suppkey"))
+        suppliers = self.table("supplier").select(
+            F.col("s_suppkey").alias("l_suppkey"), F.col("s_nationkey").alias("n_nationkey")
+        )
+        return lines.join(suppliers, "l_suppkey")
 
     @cached_property
     def line_days(self) -> DataFrame:
-        """Counts per place, day and status: the one pass over the lines the feeds share."""
-        counts = self.lines.groupBy("n_nationkey", "geo", "nuts", "day", "l_returnflag").agg(
+        """Counts per place, day and status: the one pass over the lines the feeds share.
+
+        The place's key and code depend on the nation, so they are looked up after the
+        aggregation, on its few rows.
+        """
+        counts = self.lines.groupBy("n_nationkey", "day", "l_returnflag").agg(
             F.count("*").alias("n"),
             _count(F.col("l_linestatus") == "O").alias("n_open"),
             _count((F.col("l_linestatus") == "O") & (F.col("l_quantity") > 25)).alias("n_heavy"),
@@ -142,7 +151,7 @@ class Standins:
             F.sum(_percent("l_discount") - 5).alias("discount"),
             F.sum(_percent("l_tax")).alias("tax"),
         )
-        return self._kept(counts, "line_days")
+        return self._kept(counts.join(self._places, "n_nationkey"), "line_days")
 
     @cached_property
     def placed(self) -> DataFrame:

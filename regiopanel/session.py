@@ -7,14 +7,15 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Settings the plans are written for.  ``requireAllClusterKeysForCoPartition`` off lets a
-# (geo, day) join reuse the (geo) partitioning the windows leave behind, so the dense
+# A (geo, day) join may reuse the (geo) partitioning the windows leave behind, so the dense
 # panel is not shuffled again; after aggregation one region has at most one row per day.
+PANEL_SETTINGS = {"spark.sql.requireAllClusterKeysForCoPartition": "false"}
+
 SETTINGS = {
+    **PANEL_SETTINGS,
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.requireAllClusterKeysForCoPartition": "false",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
@@ -31,6 +32,14 @@ def build_session(master: str | None = None, **extra: str) -> SparkSession:
     return builder.getOrCreate()
 
 
+def tune(spark: SparkSession) -> SparkSession:
+    """Set on a given session what the panel joins rely on, unless its owner decided."""
+    for key, value in PANEL_SETTINGS.items():
+        if spark.sparkContext.getConf().get(key) is None:
+            spark.conf.set(key, value)
+    return spark
+
+
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
