@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -41,14 +43,16 @@ from regiopanel.operators.quality import (
 from regiopanel.operators.rollup import population_by_level, rollup_country, rollup_state
 from regiopanel.operators.spine import dense_panel
 from regiopanel.operators.vintage import latest, stamp_vintage, stamp_vintages
-from regiopanel.plans.panel_queries import case_indicators, crosswalk_of, peopled_panel
+from regiopanel.plans.levels import VINTAGES
+from regiopanel.plans.panel_queries import REGION_OUTPUT, STAMPED_REGION_SQL, case_indicators, crosswalk_of, peopled_panel
+from regiopanel.plans.pipeline import Pipeline
 from regiopanel.plans.reference_sql import indicator_columns, or_zero, rounded, with_parts
 from regiopanel.plans.registry import register
-from regiopanel.plans.standins import CITY, Standins
+from regiopanel.plans.standins import CITY, OPTIONS, Standins
 from regiopanel.session import fresh_path
 from regiopanel.sinks.exports import formatted, replace_table, scan_table, write_delimited
 from regiopanel.sources.archives import unzip_rows, zip_partitions
-from regiopanel.sources.feeds import Feed
+from regiopanel.sources.feeds import FEEDS, Feed
 from regiopanel.sources.readers import apply_types, lowercase_columns, read_feed
 
 # --- crosswalk ---------------------------------------------------------------------------
@@ -745,3 +749,32 @@ def export_formatted(s: Standins) -> DataFrame:
     """Lines of an export with German dates, padded keys and percentages, as written."""
     style = {"decimal_mark": ".", "german_days": True, "percent": ["infection_rate"], "padded": {"geo": 5}}
     return _exported_lines(s, _exported_panel(s), **style)
+
+
+def _published(s: Standins, name: str, df: DataFrame) -> Feed:
+    """Write a stand-in feed as the delimited file the published one is."""
+    feed = FEEDS[name]
+    out = []
+    for source, (column, kind) in feed.columns.items():
+        value = F.col(column) if column in df.columns else F.lit(None)
+        text = day_text(value) if kind == "german_day" else value.cast("string")
+        out.append(text.alias(source.upper()))
+    path = fresh_path(s.spark, name)
+    df.select(*out).write.option("header", True).option("sep", feed.sep).option("quote", feed.quote).csv(path)
+    return replace(feed, path=path, member=None)
+
+
+@register(
+    "SNK-06 FN-04 FN-05 FN-06 SRC-08 SNK-03 SNK-05 DOM-25",
+    STAMPED_REGION_SQL,
+    store="line_days regions",
+)
+def staged_run_region(s: Standins) -> DataFrame:
+    """All feeds as files, read, checked, stored and built by the stages of a run."""
+    cases = s.cases.withColumns({"reference_day": F.col("day"), "vintage": F.lit("2001-12-31").cast("date")})
+    feeds = {"cases": cases, **{n: getattr(s, n) for n in FEEDS if n != "cases"}}
+    files = {name: _published(s, name, df) for name, df in feeds.items()}
+    options = replace(OPTIONS, strict=False)
+    run = Pipeline(s.spark, files, fresh_path(s.spark, "run"), options)
+    table = run.run(["read", "region"])["region"]
+    return table.select(*REGION_OUTPUT, *VINTAGES)

@@ -63,6 +63,8 @@ BERLIN = City(key=11000, lo=11000, hi=12000, name="Berlin", kind="Kreisfreie Sta
 
 @dataclass(frozen=True)
 class Options:
+    """Choices of a run; ``strict`` refuses feeds whose codes do not all lead to a region."""
+
     start: Bound | None = None
     end: Bound | None = None
     dose_levels: Sequence[int] = DOSE_LEVELS
@@ -70,6 +72,7 @@ class Options:
     missing: float | None = None
     fill: float | None = None
     subtotal: bool = True
+    strict: bool = True
     city: City = field(default=BERLIN)
 
 

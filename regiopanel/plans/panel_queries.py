@@ -424,12 +424,12 @@ MOBILITY_COLUMNS = ["mobility_change", "mobility_change_7day_average", "mobility
 ICU_COLUMNS = ["icu_share", "icu_cases", "icu_ventilated"]
 
 
-def _region_sql() -> str:
+def _region_sql(extra: str = "") -> str:
     parents = ", ".join(f"p.{c} AS {c}_parent" for c in ICU_COLUMNS)
     return with_parts(
         f"""SELECT t.geo, t.day, state, name, kind, is_subtotal, {", ".join("t." + c for c in LEVEL_COLUMNS)},
         {indicator_columns().replace("day <=", "t.day <=")}, {", ".join(MOBILITY_COLUMNS)},
-        {", ".join("i." + c for c in ICU_COLUMNS)}, {parents}, hospital_incidence
+        {", ".join("i." + c for c in ICU_COLUMNS)}, {parents}, hospital_incidence{extra}
         FROM region_totals t JOIN region_frames ON g_key = t.geo AND g_day = t.day
         LEFT JOIN (SELECT * FROM mob_region JOIN crosswalk USING (nuts)) m ON m.geo = t.geo AND m.day = t.day
         LEFT JOIN icu_region i ON i.geo = t.geo AND i.day = t.day
@@ -464,6 +464,16 @@ def _country_sql() -> str:
     )
 
 
+REGION_OUTPUT = [
+    "geo", "day", "state", "name", "kind", "is_subtotal", *LEVEL_COLUMNS, *INDICATOR_COLUMNS, *MOBILITY_COLUMNS,
+    *ICU_COLUMNS, *[c + "_parent" for c in ICU_COLUMNS], "hospital_incidence",
+]
+STAMPED_REGION_SQL = _region_sql(
+    """, (SELECT max(day) FROM fact) AS rki_stand, (SELECT max(day) FROM ld) AS rki_impf_stand,
+    (SELECT max(day) FROM mob_region) AS rki_mobilitaet_stand, DATE '2001-12-31' AS einwohner_stand"""
+)
+
+
 def crosswalk_of(s: Standins) -> DataFrame:
     return build_crosswalk(
         s.regions, postal_codes(s.postal_nuts), postal_regions(s.postal_keys), s.mobility_region, (CITY.lo, CITY.hi)
@@ -478,11 +488,7 @@ def crosswalk_of(s: Standins) -> DataFrame:
 )
 def affectedness_region(s: Standins) -> DataFrame:
     table = region_level(s.counts, crosswalk_of(s), s.mobility_region, s.icu, s.hospital, s.regions, OPTIONS)
-    parents = [c + "_parent" for c in ICU_COLUMNS]
-    return table.select(
-        "geo", "day", "state", "name", "kind", "is_subtotal", *LEVEL_COLUMNS, *INDICATOR_COLUMNS, *MOBILITY_COLUMNS,
-        *ICU_COLUMNS, *parents, "hospital_incidence",
-    )
+    return table.select(*REGION_OUTPUT)
 
 
 @register("DOM-14 DOM-18 DOM-19 DOM-21 FN-02 FN-05", _state_sql(), store="line_days regions")

@@ -77,3 +77,37 @@ def test_hot_region_and_hot_parent(spark):
     sums = allocate_proportional(t, m, ["n"]).groupBy("parent", "day").agg(F.sum("n"), F.count("*"))
     sizes = {p: sum(1 for q, *_ in members if q == p) for p in (1, 2)}
     assert rows(sums) == sorted((p, day(d), 100_003 * p + d, sizes[p]) for p in (1, 2) for d in (1, 2))
+
+
+def test_skewed_join_is_split(spark, tmp_path):
+    """A hot customer without a broadcast: the join splits its partition, results stay the same."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "50KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    orders = spark.range(120_000, numPartitions=6).select(
+        F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id") % 5000).alias("o_custkey"),
+        F.date_add(F.lit("1996-01-01").cast("date"), (F.hash("id") % 100).cast("int")).cast("timestamp_ntz").alias("o_orderdate"),
+        F.lit("F").alias("o_orderstatus"),
+    )
+    orders.write.parquet(str(tmp_path / "orders.parquet"))
+    spark.range(5000).select(F.col("id").alias("c_custkey"), (F.col("id") % 25).cast("int").alias("c_nationkey")).write.parquet(
+        str(tmp_path / "customer.parquet")
+    )
+    spark.read.parquet(f"{FOLDER}/nation.parquet").write.parquet(str(tmp_path / "nation.parquet"))
+    expected = rows(REGISTRY["sums_by_region_day"].run(spark, str(tmp_path)))
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        df = REGISTRY["sums_by_region_day"].run(spark, str(tmp_path))
+        assert rows(df) == expected
+        df.collect()
+        assert "skew=true" in plan_of(df)
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
