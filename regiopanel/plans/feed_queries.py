@@ -44,9 +44,15 @@ from regiopanel.operators.rollup import population_by_level, rollup_country, rol
 from regiopanel.operators.spine import dense_panel
 from regiopanel.operators.vintage import latest, stamp_vintage, stamp_vintages
 from regiopanel.plans.levels import VINTAGES
-from regiopanel.plans.panel_queries import REGION_OUTPUT, STAMPED_REGION_SQL, case_indicators, crosswalk_of, peopled_panel
+from regiopanel.plans.panel_queries import (
+    REGION_OUTPUT,
+    STAMPED_REGION_SQL,
+    case_indicators,
+    crosswalk_of,
+    peopled_panel,
+)
 from regiopanel.plans.pipeline import Pipeline
-from regiopanel.plans.reference_sql import indicator_columns, or_zero, rounded, with_parts
+from regiopanel.plans.reference_sql import columns_of, indicator_columns, or_zero, rounded, with_parts
 from regiopanel.plans.registry import register
 from regiopanel.plans.standins import CITY, OPTIONS, Standins
 from regiopanel.session import fresh_path
@@ -168,17 +174,17 @@ def mobility_join_date(s: Standins) -> DataFrame:
     return enrich(rolled, s.mobility_country, ("day",), MOBILITY, fill=0.0)
 
 
-@register("DOM-19 JOIN-04 MTH-01", with_parts("SELECT geo, day, icu_share, icu_cases, icu_ventilated FROM icu_region", "icu_region"))
+@register("DOM-19 JOIN-04 MTH-01", columns_of("icu_region", "geo, day, icu_share, icu_cases, icu_ventilated"))
 def icu_ratio_county(s: Standins) -> DataFrame:
     return icu_occupancy(s.icu, ("geo", "day"))
 
 
-@register("DOM-19 AGG-13 JOIN-08", with_parts("SELECT state, day, icu_share, icu_cases, icu_ventilated FROM icu_state", "icu_state"))
+@register("DOM-19 AGG-13 JOIN-08", columns_of("icu_state", "state, day, icu_share, icu_cases, icu_ventilated"))
 def icu_ratio_state(s: Standins) -> DataFrame:
     return icu_occupancy(s.icu, ("state", "day"))
 
 
-@register("DOM-19 AGG-13 AGG-02", with_parts("SELECT day, icu_share, icu_cases, icu_ventilated FROM icu_country", "icu_country"))
+@register("DOM-19 AGG-13 AGG-02", columns_of("icu_country", "day, icu_share, icu_cases, icu_ventilated"))
 def icu_ratio_country(s: Standins) -> DataFrame:
     return icu_occupancy(s.icu, ("day",))
 
@@ -199,7 +205,7 @@ def icu_parent_on_child(s: Standins) -> DataFrame:
     return inherit_parent(panel, icu_occupancy(s.icu, ("state", "day")), "state", ICU)
 
 
-@register("DOM-21 JOIN-14 AGG-01 DIV-15", with_parts("SELECT level_id, day, hospital_incidence FROM hosp", "hosp"), "hospital_incidence")
+@register("DOM-21 JOIN-14 AGG-01", columns_of("hosp", "level_id, day, hospital_incidence"), "hospital_incidence")
 def hospital_by_level(s: Standins) -> DataFrame:
     return hospital_incidence(s.hospital, population_by_level(s.regions))
 
@@ -292,7 +298,8 @@ def key_prefix_filter(s: Standins) -> DataFrame:
 @register(
     "FLT-01 DOM-15",
     with_parts(
-        "SELECT day, CAST(status AS INTEGER) AS status, CAST(sum(doses) AS BIGINT) AS doses FROM dose WHERE place = 'u' GROUP BY day, status",
+        """SELECT day, CAST(status AS INTEGER) AS status, CAST(sum(doses) AS BIGINT) AS doses
+        FROM dose WHERE place = 'u' GROUP BY day, status""",
         "dose",
     ),
 )
@@ -317,14 +324,14 @@ def in_subquery_filter(s: Standins) -> DataFrame:
 @register(
     "FLT-08 DAT-04",
     with_parts(
-        "SELECT geo, day, cases FROM counted WHERE day <= (SELECT max(CAST(l_shipdate AS DATE)) FROM lineitem) - 90",
+        "SELECT geo, day, cases FROM counted WHERE day <= (SELECT max(CAST(l_shipdate AS DATE)) FROM lineitem) - 400",
         "counted",
     ),
 )
 def date_bound_filter(s: Standins) -> DataFrame:
     """Upper date bound taken from another feed."""
     lines = s.table("lineitem").select(F.col("l_shipdate").cast("date").alias("day"))
-    bound = F.date_add(latest(lines, "day"), -90)
+    bound = F.date_add(latest(lines, "day"), -400)
     kept = s.cases.filter(F.col("day") <= bound)
     return kept.groupBy("geo", "day").agg(F.sum("cases").alias("cases"))
 
@@ -348,7 +355,8 @@ def projections(s: Standins) -> DataFrame:
 
 @register(
     "PRJ-07 PRJ-08 FLT-07 CND-01",
-    """SELECT l_orderkey, l_linenumber, CASE WHEN l_returnflag = 'R' THEN l_linenumber + 100 ELSE l_linenumber END AS line_no,
+    """SELECT l_orderkey, l_linenumber,
+    CASE WHEN l_returnflag = 'R' THEN l_linenumber + 100 ELSE l_linenumber END AS line_no,
     CASE WHEN l_linestatus = 'F' THEN NULL ELSE CAST(l_quantity AS BIGINT) END AS quantity FROM lineitem""",
 )
 def conditional_update(s: Standins) -> DataFrame:
@@ -440,12 +448,12 @@ def key_uniqueness(s: Standins) -> DataFrame:
 
 @register(
     "SET-05 JOIN-12 FLT-05",
-    "SELECT c_custkey FROM customer WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey)",
+    "SELECT o_orderkey FROM orders WHERE NOT EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey)",
 )
 def key_difference(s: Standins) -> DataFrame:
-    """Customers without an order."""
-    customers = s.table("customer").select("c_custkey")
-    return unmatched_keys(customers, s.table("orders").select(F.col("o_custkey").alias("c_custkey")), "c_custkey")
+    """Orders without a line."""
+    orders = s.table("orders").select("o_orderkey")
+    return unmatched_keys(orders, s.table("lineitem").select(F.col("l_orderkey").alias("o_orderkey")), "o_orderkey")
 
 
 @register(
@@ -460,7 +468,9 @@ def line_cardinalities(s: Standins) -> DataFrame:
 
 @register(
     "DOM-17 AGG-10",
-    with_parts("SELECT CAST(status AS INTEGER) AS status, count(*) AS n_rows FROM dose WHERE status > 2 GROUP BY status", "dose"),
+    with_parts(
+        "SELECT CAST(status AS INTEGER) AS status, count(*) AS n_rows FROM dose WHERE status > 2 GROUP BY status", "dose"
+    ),
     "unexpected_levels",
 )
 def doses_beyond_two(s: Standins) -> DataFrame:
@@ -505,7 +515,8 @@ def union_by_name(s: Standins) -> DataFrame:
 @register(
     "DOM-24 SNK-04 AGG-04",
     with_parts(
-        "SELECT day, place, CAST(status AS INTEGER) AS status, doses, (SELECT max(day) FROM dose) AS datenstand FROM dose",
+        """SELECT day, place, CAST(status AS INTEGER) AS status, doses,
+        (SELECT max(day) FROM dose) AS datenstand FROM dose""",
         "dose",
     ),
     "vintage_stamp",
@@ -610,7 +621,8 @@ def rounding_functions(s: Standins) -> DataFrame:
 
 @register(
     "SRC-01 SRC-08 SRC-09 FN-04",
-    "SELECT CAST(c_custkey AS BIGINT) AS customer, c_name AS name, c_nationkey AS nation, c_acctbal AS balance, c_mktsegment AS segment FROM customer",
+    """SELECT c_custkey AS customer, c_name AS name, c_nationkey AS nation, c_acctbal AS balance,
+    c_mktsegment AS segment FROM customer""",
 )
 def csv_comma_scan(s: Standins) -> DataFrame:
     """Comma file whose header is in capitals, read by name into declared types."""

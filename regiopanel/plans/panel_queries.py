@@ -25,6 +25,7 @@ from regiopanel.operators.windows import FRAMES, cumulate, dense_window_sums, fi
 from regiopanel.plans.levels import country_level, region_level, state_level
 from regiopanel.plans.reference_sql import (
     DAY_SERIES,
+    columns_of,
     indicator_columns,
     or_zero,
     rounded,
@@ -43,7 +44,8 @@ def peopled_panel(s: Standins) -> DataFrame:
 
 
 def case_indicators(s: Standins, **options) -> DataFrame:
-    return indicators(peopled_panel(s), dose_levels=(), **options)
+    panel = attach_attributes(dense_panel(s.cases, COUNTS, days_of=s.case_days), s.inhabitants)
+    return indicators(panel, dose_levels=(), **options)
 
 
 # --- spines and panels -------------------------------------------------------------------
@@ -69,7 +71,7 @@ def sums_by_region_day(s: Standins) -> DataFrame:
     return sum_by(s.cases, COUNTS)
 
 
-@register("DOM-01 JOIN-01 JOIN-04 PRJ-09 AGG-01", with_parts("SELECT geo, day, cases, deaths FROM panel", "panel"), "dense_panel")
+@register("DOM-01 JOIN-01 JOIN-04 PRJ-09 AGG-01", columns_of("panel", "geo, day, cases, deaths"), "dense_panel")
 def dense_case_panel(s: Standins) -> DataFrame:
     return dense_panel(s.cases, COUNTS, days_of=s.case_days)
 
@@ -260,7 +262,7 @@ def lethality_rate(s: Standins) -> DataFrame:
 # --- doses -------------------------------------------------------------------------------
 
 
-@register("DOM-03 AGG-03 PRJ-05 FLT-01 STR-02", with_parts("SELECT geo, day, doses_1, doses_2, doses_3 FROM dosed", "dosed"))
+@register("DOM-03 AGG-03 PRJ-05 FLT-01 STR-02", columns_of("dosed", "geo, day, doses_1, doses_2, doses_3"))
 def doses_pivot(s: Standins) -> DataFrame:
     return doses_by_status(known_places(s.doses))
 
@@ -303,7 +305,8 @@ def city_doses_by_district(s: Standins) -> DataFrame:
           SELECT t.parent, t.day, m.geo, t.n, """
         + or_zero(rounded("t.n * m.population", "m.everyone", 0))
         + """ AS share FROM (SELECT geo // 1000 AS parent, day, count(*) AS n FROM fact GROUP BY 1, 2) t
-          JOIN (SELECT state AS parent, geo, population, sum(population) OVER (PARTITION BY state) AS everyone FROM reg) m
+          JOIN (SELECT state AS parent, geo, population, sum(population) OVER (PARTITION BY state) AS everyone
+            FROM reg) m
           ON t.parent = m.parent) AS t JOIN (SELECT geo FROM reg) m ON m.geo = t.geo
         WINDOW w AS (PARTITION BY t.parent, t.day))""",
         "fact",
@@ -538,3 +541,44 @@ def event_r_values(s: Standins) -> DataFrame:
     )
     panel = dense_panel(events, COUNTS).withColumn("population", F.lit(None).cast("bigint"))
     return indicators(panel, dose_levels=(), mask=False).select("geo", "day", "cases", "r4")
+
+
+def supplier_panel(s: Standins) -> DataFrame:
+    """Dense panel of shipped lines per supplier: its keys grow with the data."""
+    lines = s.table("lineitem").select(
+        F.col("l_suppkey").alias("geo"),
+        F.col("l_shipdate").cast("date").alias("day"),
+        F.lit(1).cast("bigint").alias("cases"),
+        (F.col("l_returnflag") == "R").cast("bigint").alias("deaths"),
+    )
+    panel = dense_panel(lines, COUNTS, days_of=lines.select("day"))
+    size = s.table("supplier").select(
+        F.col("s_suppkey").alias("geo"), (F.col("s_nationkey") + 100).cast("bigint").alias("population")
+    )
+    return attach_attributes(panel, size)
+
+
+def _over(name: str, frame: str) -> str:
+    return f"coalesce(sum(cases) OVER (PARTITION BY geo ORDER BY day {frame}), 0) AS {name}"
+
+
+@register(
+    "DOM-01 DOM-06 DOM-07 DOM-08 DOM-09 DOM-10 DOM-11 DOM-12 WIN-01 WIN-02 WIN-03 WIN-04 FN-01",
+    f"""WITH c AS (SELECT l_suppkey AS geo, CAST(l_shipdate AS DATE) AS day, count(*) AS cases,
+      count(*) FILTER (l_returnflag = 'R') AS deaths FROM lineitem GROUP BY 1, 2),
+    d AS ({DAY_SERIES.format(lo="(SELECT min(day) FROM c)", hi="(SELECT max(day) FROM c)")}),
+    p AS (SELECT geo, day, coalesce(cases, 0) AS cases, coalesce(deaths, 0) AS deaths, s_nationkey + 100 AS population
+      FROM (SELECT DISTINCT geo FROM c) CROSS JOIN d LEFT JOIN c USING (geo, day) LEFT JOIN supplier ON s_suppkey = geo),
+    t AS (SELECT *, {_over("cases_cum", "ROWS UNBOUNDED PRECEDING")},
+      coalesce(sum(deaths) OVER (PARTITION BY geo ORDER BY day ROWS UNBOUNDED PRECEDING), 0) AS deaths_cum,
+      min(CASE WHEN cases > 0 THEN day END) OVER (PARTITION BY geo) AS first_day,
+      {_over("last_7", "RANGE BETWEEN INTERVAL 6 DAY PRECEDING AND CURRENT ROW")},
+      {_over("recent_4", "RANGE BETWEEN INTERVAL 3 DAY PRECEDING AND CURRENT ROW")},
+      {_over("earlier_4", "RANGE BETWEEN INTERVAL 7 DAY PRECEDING AND INTERVAL 4 DAY PRECEDING")},
+      {_over("recent_7", "RANGE BETWEEN INTERVAL 5 DAY PRECEDING AND INTERVAL 1 DAY FOLLOWING")},
+      {_over("earlier_7", "RANGE BETWEEN INTERVAL 9 DAY PRECEDING AND INTERVAL 3 DAY PRECEDING")} FROM p)
+    SELECT geo, day, cases, deaths, {indicator_columns(())} FROM t""",
+)
+def supplier_indicators(s: Standins) -> DataFrame:
+    table = indicators(supplier_panel(s), dose_levels=())
+    return table.select("geo", "day", *COUNTS, "incidence", "r4", "r7", "infection_rate", "lethality_rate")

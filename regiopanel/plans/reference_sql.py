@@ -111,7 +111,8 @@ PARTS: dict[str, str] = {
       FROM dose WHERE place = 'u' GROUP BY day""",
     "shares": "SELECT d.day, r.geo, "
     + ", ".join(
-        f"d.doses_{i} AS t{i}, CAST({or_zero(rounded(f'd.doses_{i} * r.population', 'w.all_people', 0))} AS BIGINT) AS s{i}"
+        f"d.doses_{i} AS t{i}, "
+        f"CAST({or_zero(rounded(f'd.doses_{i} * r.population', 'w.all_people', 0))} AS BIGINT) AS s{i}"
         for i in (1, 2, 3)
     )
     + """ FROM dosed d JOIN (SELECT * FROM reg WHERE geo > 1000 AND geo < 2000) r ON d.geo = 1000
@@ -126,8 +127,8 @@ PARTS: dict[str, str] = {
     "counts": """SELECT p.*, coalesce(d.doses_1, a.doses_1, 0) AS doses_1, coalesce(d.doses_2, a.doses_2, 0) AS doses_2,
       coalesce(d.doses_3, a.doses_3, 0) AS doses_3
       FROM peopled p LEFT JOIN dosed d USING (geo, day) LEFT JOIN allocated a USING (geo, day)""",
-    "with_city": """SELECT geo, day, cases, deaths, population, state, state_name, name, kind, doses_1, doses_2, doses_3,
-      FALSE AS is_subtotal FROM counts
+    "with_city": """SELECT geo, day, cases, deaths, population, state, state_name, name, kind,
+      doses_1, doses_2, doses_3, FALSE AS is_subtotal FROM counts
       UNION ALL SELECT 1000, day, CAST(sum(cases) AS BIGINT), CAST(sum(deaths) AS BIGINT),
       CAST(sum(population) AS BIGINT), max(state), max(state_name), 'Whole city', 'city', CAST(sum(doses_1) AS BIGINT),
       CAST(sum(doses_2) AS BIGINT), CAST(sum(doses_3) AS BIGINT), TRUE
@@ -235,3 +236,7 @@ def with_parts(select: str, *names: str) -> str:
         add(name)
     parts = ",\n".join(f"{name} AS MATERIALIZED ({PARTS[name]})" for name in PARTS if name in wanted)
     return f"WITH {parts}\n{select}" if parts else select
+
+
+def columns_of(part: str, columns: str) -> str:
+    return with_parts(f"SELECT {columns} FROM {part}", part)

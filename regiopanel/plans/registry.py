@@ -31,7 +31,11 @@ def register(covers: str, sql: str | None = None, name: str | None = None, store
         key = name or build.__name__
         if key in REGISTRY:
             raise ValueError(f"query {key} is registered twice")
-        REGISTRY[key] = Query(lambda spark, folder: build(Standins(tune(spark), folder, store.split())), sql, tuple(covers.split()))
+
+        def run(spark: SparkSession, folder: str) -> DataFrame:
+            return build(Standins(tune(spark), folder, store.split()))
+
+        REGISTRY[key] = Query(run, sql, tuple(covers.split()))
         return build
 
     return add

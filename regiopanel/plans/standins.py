@@ -90,6 +90,12 @@ class Standins:
         counts = self.table("customer").groupBy("c_nationkey").agg(F.count("*").alias("population"))
         return counts.withColumnRenamed("c_nationkey", "n_nationkey")
 
+    @cached_property
+    def inhabitants(self) -> DataFrame:
+        """geo and population alone."""
+        people = F.coalesce("population", F.lit(0).cast("bigint")).alias("population")
+        return self.nations.join(self.population, "n_nationkey", "left").select("geo", people)
+
     @cached_property
     def regions(self) -> DataFrame:
         """geo, population, name, kind, state, state_name, nuts, vintage."""
