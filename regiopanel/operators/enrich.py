@@ -73,13 +73,19 @@ def inherit_parent(
 
 
 def hospital_incidence(
-    hospital: DataFrame, population: DataFrame, level: str = "level_id", day: str = "day"
+    hospital: DataFrame,
+    population: DataFrame,
+    level: str = "level_id",
+    day: str = "day",
+    age_groups: Sequence[str] | None = None,
 ) -> DataFrame:
     """Hospital cases per 100,000 inhabitants by level and day, ages summed.
 
-    ``population`` has one row per level, the country under its own key.
+    ``population`` has one row per level, the country under its own key.  Where a feed
+    has a row for all ages beside the single groups, ``age_groups`` says which to sum.
     """
-    sums = hospital.groupBy(level, day).agg(F.sum(F.col("hospital_cases").cast("bigint")).alias("hospital_cases"))
+    counted = hospital if age_groups is None else hospital.filter(F.col("age_group").isin(*age_groups))
+    sums = counted.groupBy(level, day).agg(F.sum(F.col("hospital_cases").cast("bigint")).alias("hospital_cases"))
     joined = sums.join(population, level, "left")
     value = round_ratio("hospital_cases", "population", 4, scale=PER_INHABITANTS)
     return joined.select(level, day, value.alias("hospital_incidence"))

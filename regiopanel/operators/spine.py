@@ -135,10 +135,16 @@ def dense_panel(
     )
 
 
-def outside_spine(fact: DataFrame, start: Bound, end: Bound, geo: str = "geo", day: str = "day") -> DataFrame:
+def outside_spine(
+    fact: DataFrame, start: Bound | None, end: Bound | None, geo: str = "geo", day: str = "day"
+) -> DataFrame:
     """Facts a panel over ``start .. end`` does not count, per region and day."""
-    stray = fact.filter(~F.col(day).between(_bound(start), _bound(end)))
-    return stray.groupBy(geo, day).agg(F.count("*").alias("n_rows"))
+    stray = F.lit(False)
+    if start is not None:
+        stray = stray | (F.col(day) < _bound(start))
+    if end is not None:
+        stray = stray | (F.col(day) > _bound(end))
+    return fact.filter(stray).groupBy(geo, day).agg(F.count("*").alias("n_rows"))
 
 
 def zero_fill_by_union(

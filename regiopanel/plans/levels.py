@@ -63,7 +63,11 @@ BERLIN = City(key=11000, lo=11000, hi=12000, name="Berlin", kind="Kreisfreie Sta
 
 @dataclass(frozen=True)
 class Options:
-    """Choices of a run; ``strict`` refuses feeds whose codes do not all lead to a region."""
+    """Choices of a run.
+
+    ``strict`` refuses feeds whose codes do not all lead to a region; ``age_groups`` are the
+    hospital age rows to sum, all of them by default.
+    """
 
     start: Bound | None = None
     end: Bound | None = None
@@ -73,6 +77,7 @@ class Options:
     fill: float | None = None
     subtotal: bool = True
     strict: bool = True
+    age_groups: Sequence[str] | None = None
     city: City = field(default=BERLIN)
 
 
@@ -140,15 +145,15 @@ def region_level(
     state_feeds = merge_feeds(
         ("state", "day"),
         with_suffix(icu_occupancy(icu, ("state", "day")), ICU),
-        _hospital_by_state(hospital, regions),
+        _hospital_by_state(hospital, regions, options),
     )
     table = enrich(table, region_feeds, ("geo", "day"), [*MOBILITY, *ICU], fill)
     parents = [c + "_parent" for c in ICU]
     return enrich(table, state_feeds, ("state", "day"), [*parents, "hospital_incidence"], fill)
 
 
-def _hospital_by_state(hospital: DataFrame, regions: DataFrame) -> DataFrame:
-    by_level = hospital_incidence(hospital, population_by_level(regions))
+def _hospital_by_state(hospital: DataFrame, regions: DataFrame, options: Options) -> DataFrame:
+    by_level = hospital_incidence(hospital, population_by_level(regions), age_groups=options.age_groups)
     return by_level.withColumnRenamed("level_id", "state")
 
 
@@ -166,7 +171,7 @@ def state_level(
         rolled, geo="state", dose_levels=options.dose_levels, mask=options.mask, missing=options.missing
     )
     state_feeds = merge_feeds(
-        ("state", "day"), icu_occupancy(icu, ("state", "day")), _hospital_by_state(hospital, regions)
+        ("state", "day"), icu_occupancy(icu, ("state", "day")), _hospital_by_state(hospital, regions, options)
     )
     table = enrich(table, mobility, ("state_name", "day"), MOBILITY, options.fill)
     return enrich(table, state_feeds, ("state", "day"), [*ICU, "hospital_incidence"], options.fill)
@@ -186,7 +191,8 @@ def country_level(
     unknown = doses_by_status(unknown_places(doses), ("day",), levels=options.dose_levels)
     rolled = add_unknown_place_doses(rolled, unknown, levels=options.dose_levels)
     table = indicators(rolled, dose_levels=options.dose_levels, mask=options.mask, missing=options.missing)
-    overall = hospital_incidence(hospital.filter(F.col("level_id") == COUNTRY), population_by_level(regions))
+    overall = hospital.filter(F.col("level_id") == COUNTRY)
+    overall = hospital_incidence(overall, population_by_level(regions), age_groups=options.age_groups)
     feeds = merge_feeds(("day",), mobility, icu_occupancy(icu, ("day",)), overall.drop("level_id"))
     return enrich(table, feeds, ("day",), [*MOBILITY, *ICU, "hospital_incidence"], options.fill)
 

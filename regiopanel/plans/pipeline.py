@@ -5,11 +5,13 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from regiopanel.operators.crosswalk import build_crosswalk, crosswalk_report, postal_codes, postal_regions
 from regiopanel.operators.doses import unexpected_levels
-from regiopanel.operators.quality import duplicate_keys, require_empty
+from regiopanel.operators.quality import duplicate_keys, profile_time_series, require_empty
 from regiopanel.operators.rollup import state_of
+from regiopanel.operators.spine import outside_spine
 from regiopanel.operators.vintage import inherit_vintages, stamp_vintage, stamp_vintages
 from regiopanel.plans.levels import (
     VINTAGES,
@@ -35,6 +37,14 @@ OUTPUTS = {
     "state": "tab_betroffenheit_bundesland",
     "country": "tab_betroffenheit_deutschland",
 }
+# Dated feeds and their keys.
+PROFILED = {
+    "cases": "geo",
+    "doses": "place",
+    "mobility_region": "nuts",
+    "icu": "geo",
+    "hospital": "level_id",
+}
 # Feeds stamped with their own latest day when they are stored.
 STAMPED = {
     "doses": "day",
@@ -85,6 +95,7 @@ class Pipeline:
     def _read(self) -> None:
         for name, df in load_feeds(self.spark, self.feeds).items():
             self.store(name, stamp_vintage(df, STAMPED[name]) if name in STAMPED else df)
+        self.store("profiles", self._profiles())
         regions = self.table("regions")
         require_empty(duplicate_keys(regions, "geo"), "regions are not unique")
         require_empty(
@@ -106,6 +117,15 @@ class Pipeline:
         # a region with two codes would multiply its panel rows
         require_empty(self.table("regions_with_several_codes"), "regions with several codes")
 
+    def _profiles(self) -> DataFrame:
+        """Days and keys expected and present in each dated feed."""
+        tall = None
+        for name, key in PROFILED.items():
+            profile = profile_time_series(self.table(name), key)
+            row = profile.select(F.lit(name).alias("feed"), "*")
+            tall = row if tall is None else tall.unionByName(row)
+        return tall
+
     def _icu(self) -> DataFrame:
         return self.table("icu").withColumn("state", state_of("geo"))
 
@@ -113,6 +133,7 @@ class Pipeline:
         regions = self.table("regions")
         placed = self.store("doses_by_region", placed_doses(self.table("doses"), self.options))
         cases = self.table("cases")
+        self.store("facts_outside_spine", outside_spine(cases, self.options.start, self.options.end))
         counts = region_counts(cases, placed, regions, self.options, days_of=cases.select("day"))
         counts = self.store("region_counts", counts)
         table = region_level(

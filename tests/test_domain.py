@@ -151,6 +151,14 @@ def test_hospital_sums_ages_and_knows_the_country(spark):
     assert rows(hospital_incidence(hospital, population)) == [(0, day(1), 233.3333), (1, day(1), 500.0)]
 
 
+def test_hospital_age_groups_can_be_chosen(spark):
+    schema = "level_id int, day date, age_group string, hospital_cases int"
+    hospital = spark.createDataFrame([(1, day(1), "00+", 5), (1, day(1), "00-04", 2), (1, day(1), "05-14", 3)], schema)
+    population = spark.createDataFrame([(1, 1000)], "level_id int, population long")
+    assert rows(hospital_incidence(hospital, population, age_groups=["00+"])) == [(1, day(1), 500.0)]
+    assert rows(hospital_incidence(hospital, population)) == [(1, day(1), 1000.0)]
+
+
 def test_enrich_keeps_rows_and_can_check(spark):
     panel = spark.createDataFrame([(1, day(1)), (1, day(2))], "geo int, day date")
     feed = spark.createDataFrame([(1, day(1), -2.5)], "geo int, day date, m double")

@@ -90,6 +90,15 @@ def test_upper_levels_recompute_on_sums(run):
     assert str(country[DAYS[0]].rki_stand) == "2021-12-18"
 
 
+def test_reports_are_stored(run):
+    pipeline, _ = run
+    profiles = {r.feed: r for r in pipeline.table("profiles").collect()}
+    assert profiles["cases"].n_keys == 4 and profiles["cases"].n_days == profiles["cases"].expected_days == 18
+    assert profiles["doses"].n_rows == 4 and set(profiles) == {"cases", "doses", "mobility_region", "icu", "hospital"}
+    assert pipeline.table("facts_outside_spine").count() == 0
+    assert pipeline.table("codes_without_region").count() == 0
+
+
 def test_exports(run, spark):
     pipeline, _ = run
     plain = spark.read.option("header", True).option("sep", ";").csv(f"{pipeline.folder}/plain/{OUTPUTS['region']}.csv")
