@@ -74,8 +74,7 @@ def population_by_level(
     regions: DataFrame, state: str = "state", population: str = "population"
 ) -> DataFrame:
     """Population of every state and, under the country's key, of all of them."""
-    per_state = regions.groupBy(F.col(state).alias("level_id")).agg(F.sum(population).alias("population"))
-    per_state = present(per_state, "level_id")
-    country = regions.agg(F.sum(population).alias("population"))
-    country = country.select(F.lit(COUNTRY).cast("int").alias("level_id"), "population")
-    return per_state.unionByName(country)
+    summed = regions.rollup(state).agg(F.grouping(state).alias("_all"), F.sum(population).alias("population"))
+    is_country = F.col("_all") == 1
+    level = F.when(is_country, F.lit(COUNTRY)).otherwise(F.col(state)).cast("int")
+    return present(summed.select(level.alias("level_id"), "population"), "level_id")

@@ -29,6 +29,12 @@ def day_bounds(fact: DataFrame, day: str = "day") -> tuple[Column, Column]:
     return limits.select("lo").scalar(), limits.select("hi").scalar()
 
 
+def day_span(fact: DataFrame, day: str = "day") -> DataFrame:
+    """First and last day of a fact as two rows, worth storing where many plans need the bounds."""
+    limits = fact.agg(F.min(day).alias("lo"), F.max(day).alias("hi"))
+    return limits.select(F.explode(F.array("lo", "hi")).alias(day))
+
+
 def date_spine(spark: SparkSession, start: Bound, end: Bound, day: str = "day") -> DataFrame:
     """Every day from ``start`` to ``end``, both included."""
     return spark.range(1).select(F.explode(F.sequence(_bound(start), _bound(end))).alias(day))

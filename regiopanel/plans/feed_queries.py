@@ -240,10 +240,11 @@ def denominator_two_sources(s: Standins) -> DataFrame:
 @register(
     "JOIN-16 JOIN-03",
     with_parts("SELECT geo, name, population, c.day, c.cases FROM counted c JOIN reg USING (geo)", "counted", "reg"),
+    store="daily",
 )
 def total_lookup_check(s: Standins) -> DataFrame:
     """A lookup that must find every key."""
-    daily = s.cases.groupBy("geo", "day").agg(F.sum("cases").alias("cases"))
+    daily = s.kept(s.cases.groupBy("geo", "day").agg(F.sum("cases").alias("cases")), "daily")
     regions = s.regions.select("geo", "name", "population")
     return total_lookup(daily, regions, "geo", "regions without attributes")
 
@@ -520,6 +521,7 @@ def union_by_name(s: Standins) -> DataFrame:
         "dose",
     ),
     "vintage_stamp",
+    store="line_days",
 )
 def stamped_doses(s: Standins) -> DataFrame:
     return stamp_vintage(s.doses, "day")

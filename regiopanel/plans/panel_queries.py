@@ -40,7 +40,8 @@ DOSES = ["doses_1", "doses_2", "doses_3"]
 
 def peopled_panel(s: Standins) -> DataFrame:
     """Dense case panel with the regions' attributes."""
-    return attach_attributes(dense_panel(s.cases, COUNTS, days_of=s.case_days), s.regions.drop("nuts", "vintage"))
+    panel = dense_panel(s.cases, COUNTS, days_of=s.case_days)
+    return s.kept(attach_attributes(panel, s.regions.drop("nuts", "vintage")), "panel")
 
 
 def case_indicators(s: Standins, **options) -> DataFrame:
@@ -103,10 +104,11 @@ def dense_panel_given_days(s: Standins) -> DataFrame:
         CROSS JOIN ({DAY_SERIES.format(lo="DATE '1996-01-01'", hi="DATE '1996-12-31'")})) GROUP BY geo, day""",
         "counted",
     ),
+    store="daily",
 )
 def zero_fill_union(s: Standins) -> DataFrame:
     """Facts outside the spine are kept here."""
-    return zero_fill_by_union(s.cases, COUNTS, *PANEL_YEAR)
+    return zero_fill_by_union(s.kept(sum_by(s.cases, COUNTS), "daily"), COUNTS, *PANEL_YEAR)
 
 
 @register(
@@ -275,7 +277,7 @@ def doses_pivot(s: Standins) -> DataFrame:
         + " FROM region_totals WHERE NOT is_subtotal)",
         "region_totals",
     ),
-    store="placed regions",
+    store="placed regions span",
 )
 def dose_quota(s: Standins) -> DataFrame:
     table = indicators(s.counts)
@@ -283,7 +285,7 @@ def dose_quota(s: Standins) -> DataFrame:
 
 
 def _city_parts(s: Standins) -> tuple[DataFrame, DataFrame]:
-    whole = doses_by_status(known_places(s.doses)).filter(F.col("geo") == CITY.key)
+    whole = s.placed.filter(F.col("geo") == CITY.key)
     return whole.withColumnRenamed("geo", "parent"), CITY.districts(s.regions)
 
 
@@ -291,6 +293,7 @@ def _city_parts(s: Standins) -> tuple[DataFrame, DataFrame]:
     "DOM-04 JOIN-02 WIN-07 SRT-04 MTH-01",
     with_parts("SELECT 1000 AS parent, geo, day, doses_1, doses_2, doses_3 FROM allocated", "allocated"),
     "allocate_proportional",
+    store="placed regions",
 )
 def city_doses_by_district(s: Standins) -> DataFrame:
     return allocate_proportional(*_city_parts(s), DOSES)
@@ -312,6 +315,7 @@ def city_doses_by_district(s: Standins) -> DataFrame:
         "fact",
         "reg",
     ),
+    store="totals regions",
 )
 def allocate_every_parent(s: Standins) -> DataFrame:
     """Totals of every state shared out over its regions."""
@@ -319,7 +323,7 @@ def allocate_every_parent(s: Standins) -> DataFrame:
         F.sum("cases").alias("orders")
     )
     members = s.regions.select(F.col("state").alias("parent"), "geo", "population")
-    return allocate_proportional(totals, members, ["orders"])
+    return allocate_proportional(s.kept(totals, "totals"), members, ["orders"])
 
 
 @register(
@@ -350,6 +354,7 @@ def city_share_residuals(s: Standins) -> DataFrame:
         "peopled",
     ),
     "append_subtotal",
+    store="panel",
 )
 def city_row(s: Standins) -> DataFrame:
     is_member = F.col("geo").cast("string").startswith("1")
@@ -361,7 +366,7 @@ def city_row(s: Standins) -> DataFrame:
 @register(
     "DOM-15 FLT-01 JOIN-05 PRJ-08",
     with_parts("SELECT geo, day, doses_1, doses_2, doses_3, population FROM by_country", "by_country"),
-    store="line_days regions",
+    store="line_days regions span",
 )
 def unknown_location(s: Standins) -> DataFrame:
     country = rollup_country(s.counts, [*DOSES, "population"])
@@ -392,13 +397,13 @@ ROLLED_COLUMNS = [
 ]
 
 
-@register("DOM-14 AGG-14 JOIN-09 MTH-02 AGG-08 FN-02", _level_sql("state"), "rollup_state", store="placed regions")
+@register("DOM-14 AGG-14 JOIN-09 MTH-02 AGG-08 FN-02", _level_sql("state"), "rollup_state", store="placed regions span")
 def state_indicators(s: Standins) -> DataFrame:
     rolled = rollup_state(s.counts, [*COUNTS, *DOSES, "population"], s.regions)
     return indicators(rolled, geo="state").select("state", "state_name", *ROLLED_COLUMNS)
 
 
-@register("DOM-14 AGG-02 AGG-16 FN-02", _level_sql("country"), "rollup_country", store="line_days regions")
+@register("DOM-14 AGG-02 AGG-16 FN-02", _level_sql("country"), "rollup_country", store="line_days regions span")
 def country_indicators(s: Standins) -> DataFrame:
     rolled = rollup_country(s.counts, [*COUNTS, *DOSES, "population"])
     rolled = add_unknown_place_doses(rolled, doses_by_status(unknown_places(s.doses), ("day",)))
@@ -487,14 +492,14 @@ def crosswalk_of(s: Standins) -> DataFrame:
     "DOM-01 DOM-02 DOM-03 DOM-04 DOM-05 DOM-06 DOM-07 DOM-08 DOM-09 DOM-10 DOM-11 DOM-12 DOM-13 DOM-16 DOM-18 DOM-19 "
     "DOM-20 DOM-21 FN-01 FN-03 FN-05",
     _region_sql(),
-    store="line_days regions counts",
+    store="line_days regions counts span",
 )
 def affectedness_region(s: Standins) -> DataFrame:
     table = region_level(s.counts, crosswalk_of(s), s.mobility_region, s.icu, s.hospital, s.regions, OPTIONS)
     return table.select(*REGION_OUTPUT)
 
 
-@register("DOM-14 DOM-18 DOM-19 DOM-21 FN-02 FN-05", _state_sql(), store="line_days regions")
+@register("DOM-14 DOM-18 DOM-19 DOM-21 FN-02 FN-05", _state_sql(), store="line_days regions span")
 def affectedness_state(s: Standins) -> DataFrame:
     table = state_level(s.counts, s.mobility_state, s.icu, s.hospital, s.regions, OPTIONS)
     return table.select(
@@ -503,7 +508,7 @@ def affectedness_state(s: Standins) -> DataFrame:
     )
 
 
-@register("DOM-14 DOM-15 DOM-18 DOM-19 DOM-21 FN-02 FN-05", _country_sql(), store="line_days regions")
+@register("DOM-14 DOM-15 DOM-18 DOM-19 DOM-21 FN-02 FN-05", _country_sql(), store="line_days regions span")
 def affectedness_country(s: Standins) -> DataFrame:
     table = country_level(s.counts, s.doses, s.mobility_country, s.icu, s.hospital, s.regions, OPTIONS)
     return table.select(

@@ -11,7 +11,7 @@ from regiopanel.operators.crosswalk import build_crosswalk, crosswalk_report, po
 from regiopanel.operators.doses import unexpected_levels
 from regiopanel.operators.quality import duplicate_keys, profile_time_series, require_empty
 from regiopanel.operators.rollup import state_of
-from regiopanel.operators.spine import outside_spine
+from regiopanel.operators.spine import day_span, outside_spine
 from regiopanel.operators.vintage import inherit_vintages, stamp_vintage, stamp_vintages
 from regiopanel.plans.levels import (
     VINTAGES,
@@ -134,7 +134,8 @@ class Pipeline:
         placed = self.store("doses_by_region", placed_doses(self.table("doses"), self.options))
         cases = self.table("cases")
         self.store("facts_outside_spine", outside_spine(cases, self.options.start, self.options.end))
-        counts = region_counts(cases, placed, regions, self.options, days_of=cases.select("day"))
+        span = self.store("case_days", day_span(cases))
+        counts = region_counts(cases, placed, regions, self.options, days_of=span)
         counts = self.store("region_counts", counts)
         table = region_level(
             counts,

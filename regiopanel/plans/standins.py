@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from regiopanel.functions import int_div, round_ratio
+from regiopanel.operators.spine import day_span
 from regiopanel.plans.levels import City, Options, placed_doses, region_counts
 from regiopanel.session import stored
 
@@ -82,7 +83,8 @@ class Standins:
         """Report days alone; their first and last need one column and no join."""
         return self.table("orders").select(F.col("o_orderdate").cast("date").alias("day"))
 
-    def _kept(self, df: DataFrame, name: str) -> DataFrame:
+    def kept(self, df: DataFrame, name: str) -> DataFrame:
+        """``df``, stored first if the query names it as read several times."""
         return stored(df, name) if name in self._store else df
 
     @cached_property
@@ -115,7 +117,7 @@ class Standins:
                 F.lit("2001-12-31").cast("date").alias("vintage"),
             )
         )
-        return self._kept(regions, "regions")
+        return self.kept(regions, "regions")
 
     @staticmethod
     def _nuts() -> Column:
@@ -157,17 +159,18 @@ class Standins:
             F.sum(_percent("l_discount") - 5).alias("discount"),
             F.sum(_percent("l_tax")).alias("tax"),
         )
-        return self._kept(counts.join(self._places, "n_nationkey"), "line_days")
+        return self.kept(counts.join(self._places, "n_nationkey"), "line_days")
 
     @cached_property
     def placed(self) -> DataFrame:
-        return self._kept(placed_doses(self.doses, OPTIONS), "placed")
+        return self.kept(placed_doses(self.doses, OPTIONS), "placed")
 
     @cached_property
     def counts(self) -> DataFrame:
         """Dense region panel of cases, deaths and doses."""
-        panel = region_counts(self.cases, self.placed, self.regions, OPTIONS, days_of=self.case_days)
-        return self._kept(panel, "counts")
+        span = self.kept(day_span(self.case_days), "span")
+        panel = region_counts(self.cases, self.placed, self.regions, OPTIONS, days_of=span)
+        return self.kept(panel, "counts")
 
     @cached_property
     def doses(self) -> DataFrame:
