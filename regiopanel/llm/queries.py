@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from regiopanel.llm.exact_dedup import exact_dedup
+from regiopanel.llm.jaccard_join import jaccard_join
 from regiopanel.llm.packing import pack
 from regiopanel.llm.token_counts import count_tokens
 from regiopanel.session import fresh_path
@@ -36,6 +37,10 @@ select doc_id, keep_id, group_size, doc_id = keep_id as kept, text_sha256 from t
 """
 
 
+def op4_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard_join(documents(spark, folder))
+
+
 def op5_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     counts = count_tokens(
         documents(spark, folder), public_tokenizers.path(COUNT_MODEL), fresh_path(spark, "token-counts")
@@ -52,6 +57,6 @@ def op8_packing(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    q.__name__: q for q in (op2_exact_dedup, op5_token_counts, op8_packing)
+    q.__name__: q for q in (op2_exact_dedup, op4_jaccard_join, op5_token_counts, op8_packing)
 }
 SQL: dict[str, str] = {"op2_exact_dedup": OP2_SQL}
