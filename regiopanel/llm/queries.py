@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 
 from regiopanel.llm.exact_dedup import exact_dedup
 from regiopanel.llm.jaccard_join import jaccard_join
+from regiopanel.llm.language_id import identify, labelled_sample
 from regiopanel.llm.packing import pack
+from regiopanel.llm.quality_rules import judge
 from regiopanel.llm.token_counts import count_tokens
 from regiopanel.session import fresh_path
 
@@ -37,6 +39,14 @@ select doc_id, keep_id, group_size, doc_id = keep_id as kept, text_sha256 from t
 """
 
 
+def op3_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    docs = documents(spark, folder)
+    held_out = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(4)) == 2
+    samples = labelled_sample(docs.filter(~held_out))
+    found = identify(docs, samples)
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 def op4_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard_join(documents(spark, folder))
 
@@ -56,7 +66,12 @@ def op8_packing(spark: SparkSession, folder: str) -> DataFrame:
     return op8_pack_documents(documents(spark, folder))
 
 
+def op9_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    base = ["word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+    return judge(documents(spark, folder)).select("doc_id", "n_words", *base, "base_failed", "kept", "p_bad")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    q.__name__: q for q in (op2_exact_dedup, op4_jaccard_join, op5_token_counts, op8_packing)
+    q.__name__: q for q in (op2_exact_dedup, op3_language_id, op4_jaccard_join, op5_token_counts, op8_packing, op9_quality_rules)
 }
 SQL: dict[str, str] = {"op2_exact_dedup": OP2_SQL}
