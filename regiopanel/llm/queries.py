@@ -5,16 +5,18 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from regiopanel.llm.exact_dedup import exact_dedup
 from regiopanel.llm.jaccard_join import jaccard_join
 from regiopanel.llm.language_id import identify, labelled_sample
+from regiopanel.llm import pii, secret_scan, sentencepiece_codec
+from regiopanel.llm.line_dedup import line_classes
 from regiopanel.llm.packing import pack
 from regiopanel.llm.quality_rules import judge
 from regiopanel.llm.token_counts import count_tokens
-from regiopanel.session import fresh_path
+from regiopanel.session import fresh_path, stored
 
 PACK_TOKENIZER, PACK_END = "word_bpe_49k.json", 2
 COUNT_MODEL, COUNT_LIMIT = "piece_bpe_32k.model", 4096
@@ -24,6 +26,10 @@ def documents(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/documents.parquet")
 
 
+def op1_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    return sentencepiece_codec.encode(documents(spark, folder), public_tokenizers.path(COUNT_MODEL))
+
+
 def op2_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup(documents(spark, folder))
 
@@ -58,6 +64,22 @@ def op5_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return counts.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > COUNT_LIMIT).alias("over_limit"))
 
 
+def _base_spans(kind: str) -> Column:
+    return F.size(F.filter("spans", lambda s: s["base"] & (s["kind"] == kind))).cast("long")
+
+
+def op6_pii(spark: SparkSession, folder: str) -> DataFrame:
+    found = pii.find_private(documents(spark, folder))
+    base = F.filter("spans", lambda s: s["base"])
+    counts = [_base_spans(kind).alias(f"n_{kind}") for kind in ("email", "ip", "card", "phone")]
+    digest = F.sha2(pii.listed(base), 256).alias("base_sha256")
+    return found.select("doc_id", *counts, digest, pii.listed(F.col("spans")).alias("spans"))
+
+
+def op7_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return line_classes(documents(spark, folder))
+
+
 def op8_pack_documents(docs: DataFrame) -> DataFrame:
     return pack(docs, public_tokenizers.path(PACK_TOKENIZER), PACK_END)
 
@@ -71,7 +93,26 @@ def op9_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return judge(documents(spark, folder)).select("doc_id", "n_words", *base, "base_failed", "kept", "p_bad")
 
 
+def op10_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    found = stored(secret_scan.candidates(documents(spark, folder)), "candidates")
+    scored = secret_scan.scan(found, secret_scan.labels(found))
+    digest = F.sha2("value", 256).alias("value_sha256")
+    return scored.select("doc_id", "start", "end", digest, "p_secret", "is_secret")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    q.__name__: q for q in (op2_exact_dedup, op3_language_id, op4_jaccard_join, op5_token_counts, op8_packing, op9_quality_rules)
+    q.__name__: q
+    for q in (
+        op1_sentencepiece,
+        op2_exact_dedup,
+        op3_language_id,
+        op4_jaccard_join,
+        op5_token_counts,
+        op6_pii,
+        op7_line_dedup,
+        op8_packing,
+        op9_quality_rules,
+        op10_secret_scan,
+    )
 }
 SQL: dict[str, str] = {"op2_exact_dedup": OP2_SQL}

@@ -40,16 +40,18 @@ def _model(prior: float, chances: list[dict[bool, dict[int, float]]]) -> LabelMo
     return LabelModel(math.log(prior / (1 - prior)), weights)
 
 
-def fit(counts: dict[tuple[int, ...], int], voters: int, strength: float = 20.0) -> LabelModel:
+def fit(
+    counts: dict[tuple[int, ...], int], voters: int, strength: float = 20.0, prior: float = PRIOR, guess: dict = GUESS
+) -> LabelModel:
     """``strength`` is the weight, in rows, of the first guess, so that a small input can't overturn it."""
-    total = sum(counts.values())
-    model = _model(PRIOR, [GUESS] * voters)
+    total, first = sum(counts.values()), prior
+    model = _model(prior, [guess] * voters)
     for _ in range(ROUNDS):
         held = {p: n * model.posterior(p) for p, n in counts.items()}
-        prior = (sum(held.values()) + strength * PRIOR) / (total + strength)
+        prior = (sum(held.values()) + strength * first) / (total + strength)
         chances = []
         for j in range(voters):
-            sums = {c: {v: strength * GUESS[c][v] for v in VOTES} for c in (True, False)}
+            sums = {c: {v: strength * guess[c][v] for v in VOTES} for c in (True, False)}
             for p, n in counts.items():
                 sums[True][p[j]] += held[p]
                 sums[False][p[j]] += n - held[p]
