@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 # Words that one worker remembers; beyond, it starts anew.
-WORDS_KEPT = 600_000
+WORDS_KEPT = 1_000_000
 # Characters whose words are looked up together.
 CHUNK = 1_000_000
 

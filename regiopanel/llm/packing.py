@@ -13,6 +13,7 @@ text are read, so other columns can't clash.
 from __future__ import annotations
 
 import heapq
+import re
 import zlib
 from collections.abc import Iterator
 from functools import cache
@@ -23,7 +24,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from regiopanel.llm.common import columns, text_or_empty
-from regiopanel.llm.memo import Memo, in_chunks
+from regiopanel.llm.memo import CHUNK, Memo, in_chunks
 from regiopanel.session import stored
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
@@ -31,26 +32,74 @@ PLACED = PIECES + ", sequence_id long, offset long"
 BLANK = str.maketrans("\t\n\x0b\x0c\r", "     ")
 
 
+# How the tokenizer splits lower-cased text of the first 256 code points (fixed values).
+LATIN = re.compile(
+    r"'s|'t|'re|'ve|'m|'ll|'d|[a-zªµºß-öø-ÿ]+|[0-9²³¹¼½¾]|[^\t-\r \x85\xa00-9²³¹¼½¾a-zªµºß-öø-ÿ]+"
+)
+PROBES = ["", "A b\tc's", "THE: 'tis 2²½ ÀÉß×÷ªµº, don't\x85we'LL\xa0go...'s", "x\x1cy_z  \n12"]
+UNITS_AT_ONCE = 20_000
+
+
 class WordIds:
-    """Ids as packed unsigned 32-bit integers. The tokenizer drops white space, so its ids are those of the words."""
+    """Ids as packed unsigned 32-bit integers, put together from those of words met before.
+
+    The tokenizer lower-cases, drops white space and encodes each run of letters, each digit and
+    each run of other characters on its own.  Text beyond the first 256 code points is looked
+    up by what lies between blanks, text with a special token's string goes to the library as it is.
+    """
 
     def __init__(self, tokenizer_file: str):
         from tokenizers import Tokenizer
 
-        tokenizer = Tokenizer.from_file(tokenizer_file)
-        probe = ["a b", " a\n b ", "a", "b"]
-        whole, spaced, a, b = (tokenizer.encode(x, add_special_tokens=False).ids for x in probe)
-        if not whole == spaced == a + b:
-            raise ValueError(f"{tokenizer_file} does not drop white space; its ids can't be had word by word")
-
-        def many(words: list[str]) -> list[bytes]:
-            found = tokenizer.encode_batch_fast(words, add_special_tokens=False)
-            return [np.array(x.ids, "<u4").tobytes() for x in found]
-
-        self.memo = Memo(many)
+        self.tokenizer = Tokenizer.from_file(tokenizer_file)
+        self.special = [x.content for x in self.tokenizer.get_added_tokens_decoder().values()]
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for piece, i in vocabulary.items() if piece.endswith("</w>")]] = True
+        self.units, self.words = Memo(self._many), Memo(self._each)
+        for probe in PROBES:
+            if self.whole(probe) != self.latin(probe) or self.whole(probe) != self.between_blanks(probe):
+                raise ValueError(f"{tokenizer_file} splits text in another way; its ids can't be had word by word")
+
+    def _each(self, words: list[str]) -> list[bytes]:
+        found = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
+        return [np.array(x.ids, "<u4").tobytes() for x in found]
+
+    def _many(self, units: list[str]) -> list[bytes]:
+        """All units as one text; each ends with the one token that ends a word."""
+        done = []
+        for at in range(0, len(units), UNITS_AT_ONCE):
+            part = units[at : at + UNITS_AT_ONCE]
+            ids = np.array(self.tokenizer.encode(" ".join(part), add_special_tokens=False).ids, "<u4")
+            cuts = np.flatnonzero(self.ends[ids]) + 1
+            if len(cuts) != len(part):
+                done += self._each(part)
+                continue
+            data, cuts = ids.tobytes(), [0, *(4 * cuts).tolist()]
+            done += [data[a:b] for a, b in zip(cuts, cuts[1:])]
+        return done
+
+    def whole(self, text: str) -> bytes:
+        return self._each([text])[0]
+
+    def latin(self, text: str) -> bytes:
+        return b"".join(self.units(LATIN.findall(text.lower())))
+
+    def between_blanks(self, text: str) -> bytes:
+        return b"".join(self.words(text.translate(BLANK).split(" ")))
 
     def __call__(self, text: str) -> bytes:
-        return b"".join(b"".join(self.memo(part.split(" "))) for part in in_chunks(text.translate(BLANK), " "))
+        if any(x in text for x in self.special):
+            return self.whole(text)
+        try:
+            text.encode("latin-1")
+        except UnicodeEncodeError:
+            one = self.between_blanks
+        else:
+            one = self.latin
+        if len(text) <= CHUNK:
+            return one(text)
+        return b"".join(one(part) for part in in_chunks(text.translate(BLANK), " "))
 
 
 @cache
