@@ -29,21 +29,22 @@ from regiopanel.session import stored
 DISTANCE = 2
 MIN_CHARS = 24
 # Letters whose counts' parities a pair is held against before its text is read (fixed values).
-LETTERS = "etaonirshldcu"
+LETTERS = "etaonirshldcumpg"
+BLANKS_IN_LINE = " \t\x0b\x0c\r"
 
 
 def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     texts = docs.select(docs[f"`{id_col}`"].alias("doc_id"), docs[f"`{text_col}`"].cast("string").alias("text"))
-    lines = texts.select("doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
-    line = F.regexp_replace("line", r"^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$", "")
-    lines = lines.select("doc_id", "line_no", line.alias("line")).filter("line != ''")
+    # Trimmed before they become rows, so that the many expressions on a line don't trim it again.
+    lines = F.transform(F.split("text", "\n"), lambda x: F.btrim(x, F.lit(BLANKS_IN_LINE)))
+    lines = texts.select("doc_id", F.posexplode(lines).alias("line_no", "line")).filter("line != ''")
     return lines.select("*", F.xxhash64("line").alias("h"), F.xxhash64(F.lit(1), "line").alias("g"))
 
 
-def _parities(line: Column) -> Column:
+def _parities(line: Column, length: Column) -> Column:
     """One bit for each letter; an edit changes at most two of them."""
     bits = [
-        F.shiftleft((F.length(line) - F.length(F.replace(line, F.lit(c), F.lit("")))) % 2, i)
+        F.shiftleft((length - F.length(F.replace(line, F.lit(c), F.lit("")))) % 2, i)
         for i, c in enumerate(LETTERS)
     ]
     return reduce(lambda a, b: a.bitwiseOR(b), bits)
@@ -57,8 +58,8 @@ def _segment(length: Column, i: int, parts: int) -> tuple[Column, Column]:
     return start, short + F.when(F.lit(i) >= plain, 1).otherwise(0)
 
 
-def _index_keys(line: Column, distance: int) -> list[Column]:
-    parts, length = distance + 1, F.length(line)
+def _index_keys(line: Column, length: Column, distance: int) -> list[Column]:
+    parts = distance + 1
     keys = []
     for i in range(parts):
         start, size = _segment(length, i, parts)
@@ -66,18 +67,19 @@ def _index_keys(line: Column, distance: int) -> list[Column]:
     return keys
 
 
-def _probe_keys(line: Column, distance: int) -> list[tuple[int, Column]]:
+def _probe_keys(line: Column, whole: Column, distance: int) -> list[tuple[int, Column]]:
     """(difference in length, key); a place is left out if edits before or after it would exceed the distance."""
     parts, keys = distance + 1, []
     for shorter in range(distance + 1):
-        length = F.length(line) - shorter
+        length = whole - shorter
         for i in range(parts):
             start, size = _segment(length, i, parts)
             left, right = i, distance - i
             for shift in range(max(-left, shorter - right), min(left, shorter + right) + 1):
-                at = start + shift
-                fits = (at >= 1) & (at + size - 1 <= F.length(line))
-                keys.append((shorter, F.when(fits, F.xxhash64(length, F.lit(i), F.substring(line, at, size)))))
+                if shorter or shift:  # else it is a key of the index
+                    at = start + shift
+                    fits = (at >= 1) & (at + size - 1 <= whole)
+                    keys.append((shorter, F.when(fits, F.xxhash64(length, F.lit(i), F.substring(line, at, size)))))
     return keys
 
 
@@ -120,25 +122,29 @@ def _characters(line: str) -> Column:
 def similar_lines(lines: DataFrame, distance: int = DISTANCE) -> DataFrame:
     """Links (a, b) between hashes of different lines within the distance."""
     parts = distance + 1
-    long = lines.filter(F.length("line") >= max(MIN_CHARS, parts)).select("line", "h")
-    long = long.withColumn("bits", _parities(F.col("line")))
-    line = F.col("line")
-    # As one shuffle: shorter = -1 stands for the index.
-    rows = [F.struct(F.lit(-1).alias("shorter"), k.alias("key")) for k in _index_keys(line, distance)]
-    rows += [F.struct(F.lit(d).alias("shorter"), k.alias("key")) for d, k in _probe_keys(line, distance)]
-    keyed = long.select("h", "bits", F.explode(F.array(*rows)).alias("r")).select("r.key", "r.shorter", "h", "bits")
-    keyed = keyed.filter("key is not null")
-    # Copies of a line bring the same rows; most are dropped before the shuffle.
-    index = keyed.filter("shorter = -1").select("key", F.col("h").alias("a"), F.col("bits").alias("bits_a")).distinct()
-    probe = keyed.filter("shorter >= 0").withColumn("longer", F.col("shorter") > 0).drop("shorter").distinct()
+    long = lines.select("h", "line", F.length("line").alias("n")).filter(F.col("n") >= max(MIN_CHARS, parts))
+    long = long.withColumn("bits", _parities(F.col("line"), F.col("n")))
+    # One of each group of equal lines; most copies are dropped before the shuffle.
+    long = long.groupBy("h").agg(F.first("line").alias("line"), F.first("n").alias("n"), F.first("bits").alias("bits"))
+    line, n = F.col("line"), F.col("n")
+    index = long.select(F.explode(F.array(*_index_keys(line, n, distance))).alias("key"), "h", "bits")
+    places = [F.struct(F.lit(d > 0).alias("longer"), k.alias("key")) for d, k in _probe_keys(line, n, distance)]
+    probe = long.select(F.explode(F.array(*places)).alias("at"), "h", "bits").select("at.*", "h", "bits")
+    probe = probe.filter("key is not null")
+    indexed = index.toDF("key", "a", "bits_a")
     near = F.bit_count(F.col("bits").bitwiseXOR(F.col("bits_a"))) <= 2 * distance
     once = F.col("longer") | (F.col("h") > F.col("a"))
-    met = probe.join(index, "key").filter((F.col("h") != F.col("a")) & once & near)
-    pairs = stored(met.select("a", F.col("h").alias("b")).distinct(), "pairs")
+    met = probe.join(indexed, "key").filter((F.col("h") != F.col("a")) & once & near).select("a", F.col("h").alias("b"))
+    same = index.join(indexed, "key").filter((F.col("h") > F.col("a")) & near).select("a", F.col("h").alias("b"))
+    met = met.unionByName(same)
+    pairs = stored(met.distinct(), "pairs")
     wanted = pairs.select(F.col("a").alias("h")).unionByName(pairs.select(F.col("b").alias("h"))).distinct()
     texts = lines.select("h", "line").join(wanted, "h", "left_semi").groupBy("h").agg(F.first("line").alias("line"))
     texts = stored(texts, "compared")
-    both = pairs.join(texts.toDF("a", "line_a"), "a").join(texts.toDF("b", "line_b"), "b")
+    # A few bytes a pair, but much work: spread over all tasks.
+    both = pairs.repartition("a", "b").join(texts.toDF("a", "line_a"), "a").join(texts.toDF("b", "line_b"), "b")
+    # Spark's own bounded distance drops what is far apart, the bit vectors decide on the rest.
+    both = both.filter(F.levenshtein("line_a", "line_b", distance) >= 0)
     both = both.select("a", "b", _characters("line_a").alias("x"), _characters("line_b").alias("y"))
     return both.filter(let(F.col("x"), lambda x: let(F.col("y"), lambda y: within(x, y, distance)))).select("a", "b")
 
