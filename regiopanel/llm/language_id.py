@@ -99,10 +99,11 @@ class CrossParser:
     def _table(self, symbols: np.ndarray) -> np.ndarray:
         """Next state times SYMBOLS times 2, plus 1 where a phrase ended before the symbol."""
         moves = suffix_automaton(symbols.tolist())
-        start = np.zeros(SYMBOLS, np.int32)
-        for s, to in moves[0].items():
-            start[s] = to
-        table = np.tile(start * (2 * SYMBOLS) + 1, len(moves))
+        # A symbol that occurs nowhere is a phrase of its own: a state that every symbol leaves.
+        alone = len(moves)
+        start = np.array([moves[0].get(s, alone) for s in range(SYMBOLS)], np.int32) * (2 * SYMBOLS)
+        table = np.tile(start + 1, len(moves) + 1)
+        table[:SYMBOLS] = start  # nothing ends before the first symbol
         for state, out in enumerate(moves):
             for s, to in out.items():
                 table[state * SYMBOLS + s] = to * (2 * SYMBOLS)

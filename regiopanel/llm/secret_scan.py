@@ -79,25 +79,27 @@ def _share(value: Column, pattern: str) -> Column:
     return F.regexp_count(value, F.lit(pattern)) / F.length(value)
 
 
-FEATURES: dict[str, Column] = {
-    "length": F.length("value").cast("double"),
-    "digits": _share(F.col("value"), "[0-9]"),
-    "capitals": _share(F.col("value"), "[A-Z]"),
-    "hexadecimal": _share(F.col("value"), "[0-9A-Fa-f]"),
-    "signs": _share(F.col("value"), "[+/=_-]"),
-    "letter to digit": _share(F.col("value"), "[A-Za-z](?=[0-9])"),
-    "digit to letter": _share(F.col("value"), "[0-9](?=[A-Za-z])"),
-    "digit to digit": _share(F.col("value"), "[0-9](?=[0-9])"),
-    "vowel and consonant": _share(F.col("value"), "(?i)[aeiou](?=[b-df-hj-np-tv-z])|[b-df-hj-np-tv-z](?=[aeiou])"),
-    "distinct characters": F.size(F.array_distinct(F.split("value", ""))) / F.length("value"),
-    "dictionary": 1 - F.length(F.regexp_replace("value", f"(?i){'|'.join(DICTIONARY)}", "")) / F.length("value"),
-    "path of tests": F.col("path").rlike("(?i)test|example|sample|doc|mock").cast("double"),
-    "path depth": F.regexp_count("path", F.lit("/")).cast("double"),
-    "cue before": F.col("before").rlike(CUES).cast("double"),
-    "assigned": F.col("before").rlike(r"[=:][\x20\"']*$").cast("double"),
-    "quoted": (F.col("before").rlike("[\"']$") & F.col("after").rlike("^[\"']")).cast("double"),
-    "cue after": F.col("after").rlike(CUES).cast("double"),
-}
+def features() -> dict[str, Column]:
+    """By name, over the columns of candidates."""
+    return {
+        "length": F.length("value").cast("double"),
+        "digits": _share(F.col("value"), "[0-9]"),
+        "capitals": _share(F.col("value"), "[A-Z]"),
+        "hexadecimal": _share(F.col("value"), "[0-9A-Fa-f]"),
+        "signs": _share(F.col("value"), "[+/=_-]"),
+        "letter to digit": _share(F.col("value"), "[A-Za-z](?=[0-9])"),
+        "digit to letter": _share(F.col("value"), "[0-9](?=[A-Za-z])"),
+        "digit to digit": _share(F.col("value"), "[0-9](?=[0-9])"),
+        "vowel and consonant": _share(F.col("value"), "(?i)[aeiou](?=[b-df-hj-np-tv-z])|[b-df-hj-np-tv-z](?=[aeiou])"),
+        "distinct characters": F.size(F.array_distinct(F.split("value", ""))) / F.length("value"),
+        "dictionary": 1 - F.length(F.regexp_replace("value", f"(?i){'|'.join(DICTIONARY)}", "")) / F.length("value"),
+        "path of tests": F.col("path").rlike("(?i)test|example|sample|doc|mock").cast("double"),
+        "path depth": F.regexp_count("path", F.lit("/")).cast("double"),
+        "cue before": F.col("before").rlike(CUES).cast("double"),
+        "assigned": F.col("before").rlike(r"[=:][\x20\"']*$").cast("double"),
+        "quoted": (F.col("before").rlike("[\"']$") & F.col("after").rlike("^[\"']")).cast("double"),
+        "cue after": F.col("after").rlike(CUES).cast("double"),
+    }
 
 
 def labels(found: DataFrame) -> DataFrame:
@@ -118,8 +120,8 @@ def sample(labelled: DataFrame, size: int = SAMPLE) -> DataFrame:
 
 def scan(found: DataFrame, labelled: DataFrame) -> DataFrame:
     """The candidates with p_secret and is_secret, from a forest trained on labelled ones."""
-    chosen = [value.alias(f"f{i}") for i, value in enumerate(FEATURES.values())]
-    names = [f"f{i}" for i in range(len(FEATURES))]
+    names = [f"f{i}" for i in range(len(features()))]
+    chosen = [value.alias(name) for name, value in zip(names, features().values(), strict=True)]
     assemble = VectorAssembler(inputCols=names, outputCol="features")
     train = stored(sample(labelled).select("label", "doc_id", "start", *chosen), "labelled")
     classes = {r.label for r in train.select("label").distinct().collect()}
