@@ -24,13 +24,13 @@ def int_div(a: Column | str, b: Column | str | int) -> Column:
 def round_ratio(num: str, den: str, digits: int, scale: int = 1) -> Column:
     """``num * scale / den`` rounded half away from zero; null if ``den`` is null or 0.
 
-    Both are SQL expressions over whole numbers; ``num * scale * 2 * 10**digits`` has to
-    fit a BIGINT (an overflow raises, it does not wrap).  ``div`` cuts towards zero, so
-    adding half the divisor with the sign of ``num`` rounds for any signs.
+    Both are SQL expressions over whole numbers.  The product is a DECIMAL, so counts of any BIGINT
+    size are exact.  ``div`` cuts towards zero, so adding half the divisor with the sign
+    of ``num`` rounds for any signs.
     """
-    n, d = f"cast({num} as bigint)", f"cast({den} as bigint)"
-    doubled = f"{n} * {2 * scale * 10**digits}L + if({n} < 0L, -abs({d}), abs({d}))"
-    return F.expr(f"case when {d} <> 0L then cast(({doubled}) div ({d} * 2L) as double) / {10**digits}D end")
+    n, d = f"cast({num} as decimal(19,0))", f"cast({den} as decimal(19,0))"
+    doubled = f"{n} * {2 * scale * 10**digits}BD + if({n} < 0BD, -abs({d}), abs({d}))"
+    return F.expr(f"case when {d} <> 0BD then cast(({doubled}) div ({d} * 2BD) as double) / {10**digits}D end")
 
 
 def ratio_or_zero(num: str, den: str, digits: int, scale: int = 1) -> Column:

@@ -35,9 +35,14 @@ def day_span(fact: DataFrame, day: str = "day") -> DataFrame:
     return limits.select(F.explode(F.array("lo", "hi")).alias(day))
 
 
+def _days(start: Column, end: Column) -> Column:
+    """Each day between the bounds as a row; none where they are in the wrong order."""
+    return F.explode(F.when(start <= end, F.sequence(start, end)))
+
+
 def date_spine(spark: SparkSession, start: Bound, end: Bound, day: str = "day") -> DataFrame:
     """Every day from ``start`` to ``end``, both included."""
-    return spark.range(1).select(F.explode(F.sequence(_bound(start), _bound(end))).alias(day))
+    return spark.range(1).select(_days(_bound(start), _bound(end)).alias(day))
 
 
 def distinct_keys(fact: DataFrame, *keys: str) -> DataFrame:
@@ -46,7 +51,7 @@ def distinct_keys(fact: DataFrame, *keys: str) -> DataFrame:
 
 def spine_grid(keys: DataFrame, start: Bound, end: Bound, day: str = "day") -> DataFrame:
     """Each key on each day.  Days are exploded per key, so the grid stays as distributed as the keys."""
-    return keys.select("*", F.explode(F.sequence(_bound(start), _bound(end))).alias(day))
+    return keys.select("*", _days(_bound(start), _bound(end)).alias(day))
 
 
 def stack_facts(
@@ -132,7 +137,7 @@ def dense_panel(
         gaps = gaps.filter("_kept")
     first = F.coalesce(F.date_add("_before", 1), lo)
     last = F.when(F.col("_last"), hi).otherwise(F.col(day))
-    filled = gaps.select(geo, day, *measures, F.explode(F.sequence(first, last)).alias("_day"))
+    filled = gaps.select(geo, day, *measures, _days(first, last).alias("_day"))
     on_day = F.col("_day") == F.col(day)
     return filled.select(
         geo,

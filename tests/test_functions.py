@@ -67,3 +67,11 @@ def test_int_div(spark):
     df = spark.createDataFrame([(11012,), (1001,)], "k int")
     assert [r[0] for r in df.select(int_div("k", 1000)).collect()] == [11, 1]
     assert df.select(int_div(F.col("k"), 1000).cast("int")).count() == 2
+
+
+def test_ratio_of_large_counts_is_exact(spark):
+    num, den = 61_000_000_007, 150_000_000_001
+    df = spark.createDataFrame([(num, den), (-num, den)], "n long, d long")
+    got = [r[0] for r in df.select(round_ratio("n", "d", 4, scale=100_000)).collect()]
+    expected = half_up(Fraction(num * 100_000, den), 4)
+    assert got == [expected, -expected]

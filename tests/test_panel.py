@@ -151,3 +151,12 @@ def test_first_event(spark):
     assert rows(first_event_day(df, "cases"), "geo", "day", "first_day")[0] == (1, day(1), day(2))
     assert {r.geo: r.first_day for r in first_event_day(df, "cases").collect()} == {1: day(2), 2: None}
     assert rows(first_event_table(df, "cases")) == [(1, day(2))]
+
+
+def test_bounds_in_the_wrong_order_give_no_day(spark):
+    from regiopanel.operators.spine import date_spine, spine_grid
+
+    assert date_spine(spark, "2020-01-05", "2020-01-02").count() == 0
+    assert date_spine(spark, "2020-01-02", "2020-01-02").count() == 1
+    keys = spark.createDataFrame([(1,)], "geo int")
+    assert spine_grid(keys, "2020-01-05", "2020-01-02").count() == 0
