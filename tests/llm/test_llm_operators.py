@@ -471,14 +471,14 @@ def test_secret_scan(spark, empty, odd):
 # --- the pipeline
 
 
-def test_pipeline_stages(spark, odd, empty, tmp_path):
-    whole = spark.read.parquet(f"{FOLDER}/documents.parquet")
-    for n, docs in enumerate((whole, odd.select(whole.columns), empty.select(whole.columns))):
-        for k, (_, stage) in enumerate(corpus_pipeline.STAGES):
-            path = os.path.join(tmp_path, f"{n}-{k}")
-            out = stage(spark, docs, FOLDER)
-            if k < len(corpus_pipeline.STAGES) - 1:
-                assert out.columns == docs.columns
-            out.write.parquet(path)
-            docs = spark.read.parquet(path)
-        assert docs.columns[:3] == ["doc_id", "start", "length"]
+@pytest.mark.parametrize("rows", [ODD, []], ids=["odd", "empty"])
+def test_pipeline_stages(spark, rows, tmp_path):
+    docs = frame(spark, rows).select("doc_id", "text", "lang", "source", "n_chars")
+    for k, (_, stage) in enumerate(corpus_pipeline.STAGES):
+        out = stage(spark, docs, FOLDER)
+        if k < len(corpus_pipeline.STAGES) - 1:
+            assert out.columns == docs.columns
+        path = os.path.join(tmp_path, str(k))
+        out.write.parquet(path)
+        docs = spark.read.parquet(path)
+    assert docs.columns[:3] == ["doc_id", "start", "length"]
