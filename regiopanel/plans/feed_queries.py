@@ -40,6 +40,7 @@ from regiopanel.operators.quality import (
     total_lookup,
     unmatched_keys,
 )
+from regiopanel.operators.rejects import field_errors, left_out_doses, repeated_keys
 from regiopanel.operators.rollup import population_by_level, rollup_country, rollup_state
 from regiopanel.operators.spine import dense_panel
 from regiopanel.operators.vintage import latest, stamp_vintage, stamp_vintages
@@ -618,6 +619,68 @@ def rounding_functions(s: Standins) -> DataFrame:
     )
 
 
+ODD_DOSES = """odd AS (SELECT o_orderkey AS k, o_custkey AS amount, CAST(o_orderdate AS DATE) AS d, CASE WHEN o_orderkey % 7 = 0
+  THEN NULL WHEN o_orderkey % 11 = 0 THEN ' ' WHEN o_orderkey % 13 = 0 THEN 'x1' WHEN o_orderkey % 5 = 0 THEN 'u'
+  ELSE CAST(o_custkey AS VARCHAR) END AS place FROM orders)"""
+
+
+@register(
+    "DOM-03 DOM-22",
+    f"""WITH {ODD_DOSES}, judged AS (SELECT amount, CASE WHEN k % 17 = 0 THEN 'no day' WHEN place IS NULL OR place = ' '
+      THEN 'no place' WHEN place = 'x1' THEN 'unreadable place'
+      WHEN place <> 'u' AND amount NOT IN (SELECT c_custkey FROM customer WHERE c_nationkey % 3 > 0) THEN 'unlisted place'
+      WHEN d NOT BETWEEN DATE '1993-01-01' AND DATE '1996-12-31' THEN 'outside the days' END AS reason FROM odd)
+    SELECT reason, CAST(count(*) AS BIGINT) AS n_rows, CAST(sum(amount) AS BIGINT) AS amount
+    FROM judged WHERE reason IS NOT NULL GROUP BY reason""",
+)
+def feed_rejects(s: Standins) -> DataFrame:
+    """Doses left out by reason: unreadable days and places, places and days that no panel row has."""
+    key = F.col("o_orderkey")
+    place = (
+        F.when(key % 7 == 0, None)
+        .when(key % 11 == 0, " ")
+        .when(key % 13 == 0, "x1")
+        .when(key % 5 == 0, "u")
+        .otherwise(F.col("o_custkey").cast("string"))
+    )
+    day = F.when(key % 17 != 0, F.col("o_orderdate").cast("date"))
+    doses = s.table("orders").select(day.alias("day"), place.alias("place"), F.col("o_custkey").alias("doses"))
+    listed = s.table("customer").filter("c_nationkey % 3 > 0").select(F.col("c_custkey").cast("int").alias("geo"))
+    return left_out_doses(doses, listed, "1993-01-01", "1996-12-31")
+
+
+@register(
+    "SRC-02 FLT-10",
+    """SELECT 'orders' AS feed, CAST(count(*) AS BIGINT) AS n_rows, CAST(sum(CAST(o_orderkey % 11 = 0 AS INTEGER)
+      + CAST(o_orderkey % 13 = 0 AS INTEGER)) AS BIGINT) AS n_fields FROM orders
+    WHERE o_orderkey % 11 = 0 OR o_orderkey % 13 = 0""",
+)
+def feed_field_errors(s: Standins) -> DataFrame:
+    """Unreadable fields of a written feed, counted where it is read."""
+    key = F.col("o_orderkey")
+    day = F.when(key % 11 == 0, "02.12.1995").otherwise(F.date_format("o_orderdate", "yyyy-MM-dd"))
+    status = F.when(key % 13 == 0, "x9").otherwise((key % 3).cast("string"))
+    path = fresh_path(s.spark, "faulty")
+    s.table("orders").select(day.alias("DAY"), status.alias("STATUS")).write.option("header", True).csv(path)
+    feed = Feed(path, {"day": ("day", "day"), "status": ("status", "int")})
+    return field_errors({"orders": read_feed(s.spark, feed, "n_errors")})
+
+
+@register(
+    "DOM-18 AGG-09",
+    """SELECT 'orders' AS feed, CAST(o_custkey AS VARCHAR) || ' ' || CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS key,
+    count(*) AS n_rows FROM orders GROUP BY o_custkey, CAST(o_orderdate AS DATE) HAVING count(*) > 1
+    UNION ALL SELECT 'lineitem', CAST(l_orderkey AS VARCHAR), count(*) FROM lineitem GROUP BY l_orderkey
+    HAVING count(*) > 1""",
+)
+def feed_repeated_keys(s: Standins) -> DataFrame:
+    """Keys that feeds hold more than once, of all feeds in one report."""
+    orders = s.table("orders").withColumn("day", F.col("o_orderdate").cast("date"))
+    return repeated_keys(
+        {"orders": (orders, ("o_custkey", "day")), "lineitem": (s.table("lineitem"), ("l_orderkey",))}
+    )
+
+
 # --- sources and sinks -------------------------------------------------------------------
 
 

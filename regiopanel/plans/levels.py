@@ -27,6 +27,7 @@ from regiopanel.operators.rollup import (
     population_by_level,
     rollup_country,
     rollup_state,
+    state_of,
 )
 from regiopanel.operators.spine import Bound, dense_panel, stack_facts
 
@@ -113,7 +114,8 @@ def region_counts(
     panel = dense_panel(
         facts, measures_of(options), start=options.start, end=options.end, anchor="is_primary", days_of=days_of
     )
-    return attach_attributes(panel, regions.drop("nuts", "vintage"))
+    # the state follows from the key, also where a region has no attributes
+    return attach_attributes(panel, regions.drop("nuts", "vintage")).withColumn("state", state_of("geo"))
 
 
 def region_level(

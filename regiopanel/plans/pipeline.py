@@ -4,14 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from regiopanel.operators.crosswalk import build_crosswalk, crosswalk_report, postal_codes, postal_regions
 from regiopanel.operators.doses import unexpected_levels
-from regiopanel.operators.quality import duplicate_keys, profile_time_series, require_empty
+from regiopanel.operators.quality import profile_time_series, require_empty
+from regiopanel.operators.rejects import UNREADABLE, field_errors, left_out_cases, left_out_doses, repeated_keys
 from regiopanel.operators.rollup import state_of
-from regiopanel.operators.spine import day_span, outside_spine
+from regiopanel.operators.spine import Bound, day_bounds, day_span, outside_spine, present
 from regiopanel.operators.vintage import inherit_vintages, stamp_vintage, stamp_vintages
 from regiopanel.plans.levels import (
     VINTAGES,
@@ -52,9 +53,22 @@ STAMPED = {
     "icu": "day",
     "hospital": "day",
 }
+# Keys of the feeds whose repeated rows would multiply or double what they are joined to.
+KEYS = {
+    "regions": ("geo",),
+    "mobility_region": ("nuts", "day"),
+    "mobility_state": ("state_name", "day"),
+    "mobility_country": ("day",),
+    "hospital": ("level_id", "day", "age_group"),
+}
+# Columns exported as percentages.
 PERCENT = ("infektionsrate", "letalitaetsrate")
 
 
+def _day(value: Bound) -> Column:
+    return value if isinstance(value, Column) else F.lit(value).cast("date")
+
+
 class Pipeline:
     """Runs chosen stages; each reads the tables an earlier stage stored.
 
@@ -93,11 +107,22 @@ class Pipeline:
         return {level: self.table(OUTPUTS[level]) for level in built}
 
     def _read(self) -> None:
-        for name, df in load_feeds(self.spark, self.feeds).items():
-            self.store(name, stamp_vintage(df, STAMPED[name]) if name in STAMPED else df)
+        typed = {}
+        for name, df in load_feeds(self.spark, self.feeds, "n_errors").items():
+            # a file is parsed once: errors are counted and vintages taken on the typed rows
+            typed[name] = self.store(f"typed_{name}", df)
+            plain = typed[name].drop("n_errors")
+            self.store(name, stamp_vintage(plain, STAMPED[name]) if name in STAMPED else plain)
+        errors = self.store("field_errors", field_errors(typed))
+        keys = {name: (self.table(name), columns) for name, columns in KEYS.items()}
+        repeated = self.store("repeated_keys", repeated_keys(keys))
+        left_out = self.store("left_out", self._left_out())
         self.store("profiles", self._profiles())
+        if self.options.strict:
+            require_empty(errors, "unreadable fields")
+            require_empty(left_out.filter(F.col("reason").isin(*UNREADABLE)), "rows without a usable key")
+        require_empty(repeated, "repeated keys")
         regions = self.table("regions")
-        require_empty(duplicate_keys(regions, "geo"), "regions are not unique")
         require_empty(
             unexpected_levels(self.table("doses"), levels=self.options.dose_levels), "undeclared dose levels"
         )
@@ -117,6 +142,21 @@ class Pipeline:
         # a region with two codes would multiply its panel rows
         require_empty(self.table("regions_with_several_codes"), "regions with several codes")
 
+    def _left_out(self) -> DataFrame:
+        """Rows and counts of cases and doses that no table will hold, by reason."""
+        cases, options = self.table("cases"), self.options
+        first, last = day_bounds(self.store("case_days", day_span(present(cases, "geo"))))
+        lo = first if options.start is None else options.start
+        hi = last if options.end is None else options.end
+        # doses of the whole city are shared out over its districts
+        places = present(cases, "day").select("geo")
+        places = places.unionByName(self.spark.range(1).select(F.lit(options.city.key).cast("int").alias("geo")))
+        doses = left_out_doses(self.table("doses"), places, F.greatest(_day(lo), first), F.least(_day(hi), last))
+        tall = {"cases": left_out_cases(cases, lo, hi), "doses": doses}
+        return tall["cases"].select(F.lit("cases").alias("feed"), "*").unionByName(
+            tall["doses"].select(F.lit("doses").alias("feed"), "*")
+        )
+
     def _profiles(self) -> DataFrame:
         """Days and keys expected and present in each dated feed."""
         tall = None
@@ -134,8 +174,7 @@ class Pipeline:
         placed = self.store("doses_by_region", placed_doses(self.table("doses"), self.options))
         cases = self.table("cases")
         self.store("facts_outside_spine", outside_spine(cases, self.options.start, self.options.end))
-        span = self.store("case_days", day_span(cases))
-        counts = region_counts(cases, placed, regions, self.options, days_of=span)
+        counts = region_counts(cases, placed, regions, self.options, days_of=self.table("case_days"))
         counts = self.store("region_counts", counts)
         table = region_level(
             counts,

@@ -95,5 +95,7 @@ def read_declared(
     return apply_types(raw, columns, error_column)
 
 
-def load_feeds(spark: SparkSession, feeds: Mapping[str, Feed]) -> dict[str, DataFrame]:
-    return {name: read_feed(spark, feed) for name, feed in feeds.items()}
+def load_feeds(
+    spark: SparkSession, feeds: Mapping[str, Feed], error_column: str | None = None
+) -> dict[str, DataFrame]:
+    return {name: read_feed(spark, feed, error_column) for name, feed in feeds.items()}

@@ -1,4 +1,5 @@
 import zipfile
+from dataclasses import replace
 from datetime import date, timedelta
 
 import pytest
@@ -136,3 +137,57 @@ def test_bad_feeds_are_refused(spark, tmp_path):
     path.write_text(path.read_text() + "2021-12-03,01001,60+,7,1\n")
     with pytest.raises(DataCheckError, match="levels"):
         Pipeline(spark, catalog(str(tmp_path)), str(tmp_path / "out")).run(["read"])
+
+
+def append(folder, name, *lines):
+    path = folder / name
+    path.write_text(path.read_text() + "".join(line + "\n" for line in lines))
+
+
+DOSES = "Aktuell_Deutschland_Landkreise_COVID-19-Impfungen.csv"
+FACTS = '17000,M,50,0,2021/12/05 00:00:00+00,2021/12/05 00:00:00+00,"18.12.2021, 00:00 Uhr"'
+
+
+def test_what_is_left_out_is_reported(spark, tmp_path):
+    write_feeds(tmp_path)
+    append(
+        tmp_path, DOSES, "2021-12-03,,60+,1,40", "2021-12-03,x1,60+,1,3", "2021-12-03,17001,60+,1,30",
+        "2021-12-30,1001,60+,1,20", "2021-12-30,u,60+,1,2", "02.12.2021,1001,60+,1,100",
+    )
+    append(tmp_path, "rki_covid19.csv", FACTS.replace("2021/12/05", "05.12.2021", 1), FACTS.replace("17000", ""))
+    options = Options(start=START, strict=False)
+    pipeline = Pipeline(spark, catalog(str(tmp_path)), str(tmp_path / "out"), options)
+    tables = pipeline.run(["read", "region", "state", "country"])
+    assert rows(pipeline.table("left_out")) == sorted([
+        ("cases", "no day", 1, 50), ("cases", "no place", 1, 50), ("doses", "no day", 1, 100), ("doses", "no place", 1, 40),
+        ("doses", "unreadable place", 1, 3), ("doses", "unlisted place", 1, 30), ("doses", "outside the days", 2, 22),
+    ])
+    assert rows(pipeline.table("field_errors")) == [("cases", 1, 1), ("doses", 1, 1)]
+    # what was read is what the tables hold and what was left out
+    held = tables["country"].agg({"cases": "sum"}).first()[0]
+    held_doses = tables["country"].selectExpr("sum(doses_1 + doses_2 + doses_3)").first()[0]
+    read = {n: pipeline.table(n).agg({n: "sum"}).first()[0] for n in ("cases", "doses")}
+    out = {r.feed: r.n for r in pipeline.table("left_out").groupBy("feed").agg({"amount": "sum"}).toDF("feed", "n").collect()}
+    assert read == {"cases": held + out["cases"], "doses": held_doses + out["doses"]}
+    strict = replace(options, strict=True)
+    with pytest.raises(DataCheckError, match="unreadable"):
+        Pipeline(spark, catalog(str(tmp_path)), str(tmp_path / "strict"), strict).run(["read"])
+
+
+def test_state_follows_from_the_key(spark, tmp_path):
+    write_feeds(tmp_path)
+    append(tmp_path, "rki_covid19.csv", FACTS.replace("17000", "1002"))
+    pipeline = Pipeline(spark, catalog(str(tmp_path)), str(tmp_path / "out"), Options(start=START))
+    tables = pipeline.run(["read", "region", "state"])
+    assert rows(tables["state"].select("state", "state_name").distinct()) == [(1, "Schleswig-Holstein"), (11, "Berlin")]
+    day = tables["state"].filter("state = 1 and day = '2021-12-05'").collect()
+    assert [r.cases for r in day] == [50]
+
+
+def test_repeated_feed_rows_are_refused(spark, tmp_path):
+    write_feeds(tmp_path)
+    append(tmp_path, "mobility_change_bundeslaender.csv", "Berlin,2021-12-02,-0.5,1.5,0")
+    pipeline = Pipeline(spark, catalog(str(tmp_path)), str(tmp_path / "out"))
+    with pytest.raises(DataCheckError, match="repeated"):
+        pipeline.run(["read"])
+    assert rows(pipeline.table("repeated_keys")) == [("mobility_state", "Berlin 2021-12-02", 2)]
