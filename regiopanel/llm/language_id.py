@@ -168,13 +168,17 @@ def _parser(samples: tuple[tuple[str, str], ...]) -> CrossParser:
 
 
 def labelled_sample(labelled: DataFrame, lang_col: str = "lang", text_col: str = "text") -> dict[str, str]:
-    """Bounded text of each language, equally much of each, of texts chosen by their hash."""
+    """Bounded text of each language, equally much of each, of distinct texts chosen by their hash."""
     rows = columns(labelled, lang=lang_col, text=text_col).filter("lang is not null and text is not null")
-    rows = rows.select("lang", F.substring("text", 1, SAMPLE_OF_TEXT).alias("text"), F.xxhash64("text").alias("at"))
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy("at", "text"))
-    chosen = rows.withColumn("rank", rank).filter(F.col("rank") <= SAMPLE_TEXTS).orderBy("lang", "rank")
+    rows = rows.select("lang", F.substring("text", 1, SAMPLE_OF_TEXT).alias("text"))
+    rows = rows.withColumn("at", F.xxhash64("text"))
+    # Copies count once. Texts are read again by the few hashes that are chosen, so only hashes are exchanged.
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy("at"))
+    least = rows.select("lang", "at").distinct().withColumn("rank", rank).filter(F.col("rank") <= SAMPLE_TEXTS)
+    least = least.orderBy("lang", "rank").limit(LANGUAGES * SAMPLE_TEXTS).select("lang", "at")
+    chosen = rows.join(F.broadcast(least), ["lang", "at"]).groupBy("lang", "at").agg(F.min("text").alias("text"))
     texts: dict[str, list[str]] = {}
-    for row in chosen.limit(LANGUAGES * SAMPLE_TEXTS).toLocalIterator():
+    for row in chosen.orderBy("lang", "at").toLocalIterator():
         found = texts.setdefault(row.lang, [])
         if sum(map(len, found)) < SAMPLE_CHARS:
             found.append(row.text)

@@ -204,6 +204,16 @@ def test_languages_of_held_out_documents(spark, empty, odd):
 # --- 4
 
 
+def test_copies_do_not_fill_the_labelled_sample(spark):
+    texts = [f"{x} line of its own" for x in ("one", "two", "three", "four", "five", "six", "seven", "eight")]
+    hashes = spark.createDataFrame([(t,) for t in texts], "text string").select("text", F.xxhash64("text").alias("at"))
+    lowest = min(hashes.collect(), key=lambda r: r["at"])["text"]
+    copies = spark.range(3000).select(F.lit("en").alias("lang"), F.lit(lowest).alias("text"))
+    others = spark.createDataFrame([("en", t) for t in texts], "lang string, text string")
+    sample = labelled_sample(copies.unionByName(others))["en"]
+    assert sorted(sample.split("\n")) == sorted(texts)
+
+
 def shingles(text):
     w = words(re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
     return {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
