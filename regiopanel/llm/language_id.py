@@ -32,7 +32,8 @@ UNKNOWN = "und"
 # and characters of all languages together.
 SAMPLE_TEXTS, SAMPLE_OF_TEXT, SAMPLE_CHARS, SAMPLE_ALL = 64, 2_000, 24_000, 400_000
 LANGUAGES = 1_000
-SYMBOLS = 64
+# Entries of a table that is laid out in full; a larger one, of many letters, holds only the moves there are.
+DENSE = 1 << 23
 SEGMENT = 1_024
 # Symbols that are parsed together.
 LANES = 1 << 21
@@ -82,33 +83,55 @@ def suffix_automaton(symbols: list[int]) -> list[dict[int, int]]:
     return moves
 
 
+class _Table:
+    """A language's automaton over the letters of its own sample; all others are its symbol 0, on which no
+    state has a move. A move is the next state times twice the width, plus 1 where a phrase ended before the symbol."""
+
+    def __init__(self, sample: np.ndarray, symbols: int):
+        own = np.unique(sample[sample > 0])
+        self.width = len(own) + 1
+        self.local = np.zeros(symbols, np.int32)
+        self.local[own] = np.arange(1, self.width)
+        moves = suffix_automaton(self.local[sample].tolist())
+        # A symbol that occurs nowhere is a phrase of its own: a state that every symbol leaves.
+        alone = len(moves)
+        start = np.array([moves[0].get(s, alone) for s in range(self.width)], np.int64) * (2 * self.width)
+        at = np.array([k * self.width + s for k, out in enumerate(moves) for s in out], np.int64)
+        to = np.array([x for out in moves for x in out.values()], np.int64) * (2 * self.width)
+        first = np.arange(self.width)  # nothing ends before the first symbol
+        self.dense = self.keys = None
+        if (alone + 1) * self.width <= DENSE:
+            self.dense = np.tile((start + 1).astype(np.int32), alone + 1)
+            self.dense[first] = start
+            self.dense[at] = to
+        else:
+            rest = at >= self.width
+            order = np.argsort(at[rest])
+            self.keys = np.concatenate([first, at[rest][order]])
+            self.targets, self.missing = np.concatenate([start, to[rest][order]]), start + 1
+
+    def moved(self, states: np.ndarray, symbols: np.ndarray) -> np.ndarray:
+        at = (states >> 1) + symbols
+        if self.dense is not None:
+            return self.dense[at]
+        place = np.minimum(np.searchsorted(self.keys, at), len(self.keys) - 1)
+        return np.where(self.keys[place] == at, self.targets[place], self.missing[symbols])
+
+
 class CrossParser:
     """Phrase counts of texts against each language's labelled text."""
 
     def __init__(self, samples: dict[str, str]):
         codes = {lang: _codes(text) for lang, text in samples.items()}
-        seen, n = np.unique(np.concatenate([*codes.values(), np.zeros(0, np.uint32)]), return_counts=True)
-        known = seen[np.lexsort((seen, -n))][: SYMBOLS - 1]
-        self.symbol = np.zeros(0x110000, np.uint8)  # 0: a letter that no frequent symbol stands for
+        known = np.unique(np.concatenate([*codes.values(), np.zeros(0, np.uint32)]))
+        # 0: a letter that no sample holds
+        self.symbol = np.zeros(0x110000, np.min_scalar_type(len(known)))
         self.symbol[known] = np.arange(1, len(known) + 1)
         self.symbol = self.symbol[_letters()]
         self.languages = sorted(samples)
-        self.tables = [self._table(self.symbol[codes[x]]) for x in self.languages]
+        self.tables = [_Table(self.symbol[codes[x]], len(known) + 1) for x in self.languages]
         self.weights = np.array([np.log2(len(samples[x]) + 2) for x in self.languages])
 
-    def _table(self, symbols: np.ndarray) -> np.ndarray:
-        """Next state times SYMBOLS times 2, plus 1 where a phrase ended before the symbol."""
-        moves = suffix_automaton(symbols.tolist())
-        # A symbol that occurs nowhere is a phrase of its own: a state that every symbol leaves.
-        alone = len(moves)
-        start = np.array([moves[0].get(s, alone) for s in range(SYMBOLS)], np.int32) * (2 * SYMBOLS)
-        table = np.tile(start + 1, len(moves) + 1)
-        table[:SYMBOLS] = start  # nothing ends before the first symbol
-        for state, out in enumerate(moves):
-            for s, to in out.items():
-                table[state * SYMBOLS + s] = to * (2 * SYMBOLS)
-        return table
-
     def symbols(self, text: str) -> np.ndarray:
         return self.symbol[np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)]
 
@@ -120,7 +143,7 @@ class CrossParser:
         first = np.arange(len(owner)) - np.repeat(np.cumsum(parts) - parts, parts)
         size = np.minimum(SEGMENT, lengths[owner] - first * SEGMENT)
         order = np.argsort(-size, kind="stable")
-        lanes = np.zeros((len(owner), SEGMENT), np.uint8)
+        lanes = np.zeros((len(owner), SEGMENT), self.symbol.dtype)
         row = 0
         for x, n in zip(texts, parts, strict=True):
             lanes[row : row + n].reshape(-1)[: len(x)] = x
@@ -129,10 +152,12 @@ class CrossParser:
         active = np.searchsorted(-size[order], -np.arange(SEGMENT), "left")
         counts = np.empty((len(texts), len(self.languages)), np.int64)
         for k, table in enumerate(self.tables):
-            state, ended = np.zeros(len(owner), np.int32), np.zeros(len(owner), np.int32)
+            own = table.local[steps]
+            wide = np.int32 if table.dense is not None else np.int64
+            state, ended = np.zeros(len(owner), wide), np.zeros(len(owner), np.int32)
             for i in range(int(size.max(initial=0))):
                 n = active[i]
-                moved = table[(state[:n] >> 1) + steps[i, :n]]
+                moved = table.moved(state[:n], own[i, :n])
                 ended[:n] += moved & 1
                 state[:n] = moved & -2
             ended[size[order] > 0] += 1

@@ -204,6 +204,20 @@ def test_languages_of_held_out_documents(spark, empty, odd):
 # --- 4
 
 
+@pytest.mark.parametrize("dense", [1 << 23, 0])
+def test_letters_of_many_scripts_stay_apart(dense, monkeypatch):
+    monkeypatch.setattr("regiopanel.llm.language_id.DENSE", dense)
+    rng = random.Random(3)
+    scripts = {"el": (0x3B1, 24), "hy": (0x561, 38), "ka": (0x10D0, 33), "ru": (0x430, 32), "zh": (0x4E00, 2000)}
+    texts = {lang: "".join(chr(a + rng.randrange(n)) for _ in range(4000)) for lang, (a, n) in scripts.items()}
+    parser = CrossParser(texts)
+    probes = {lang: text[500:560] for lang, text in texts.items()}
+    assert parser.predict(list(probes.values()))[0] == list(probes)
+    assert parser.phrases([parser.symbols(x) for x in probes.values()]).diagonal().tolist() == [1] * len(probes)
+    # A letter that a sample lacks is a phrase of its own.
+    assert parser.phrases([parser.symbols("\u0e01" * 7)]).tolist() == [[7] * len(texts)]
+
+
 def test_copies_do_not_fill_the_labelled_sample(spark):
     texts = [f"{x} line of its own" for x in ("one", "two", "three", "four", "five", "six", "seven", "eight")]
     hashes = spark.createDataFrame([(t,) for t in texts], "text string").select("text", F.xxhash64("text").alias("at"))
