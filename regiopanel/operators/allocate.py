@@ -42,7 +42,7 @@ def allocate_proportional(
         parent,
         F.col("_member").alias(member),
         day,
-        *[ratio_or_zero(f"`{m}` * _weight", "_all", 0).cast("bigint").alias(m) for m in measures],
+        *[ratio_or_zero(f"`{m}`", "_all", 0, times="_weight").cast("bigint").alias(m) for m in measures],
     )
     taken = shares.groupBy(parent, day).agg(*[F.sum(m).alias("_" + m) for m in measures])
     rest = known.join(taken, [parent, day], "left").select(
@@ -71,7 +71,7 @@ def allocation_residuals(
     sums = shares.groupBy(parent, day).agg(
         *[F.max(m).cast("bigint").alias(m) for m in measures],
         *[
-            F.sum(ratio_or_zero(f"`{m}` * _weight", "_all", 0).cast("bigint")).alias(m + "_shares")
+            F.sum(ratio_or_zero(f"`{m}`", "_all", 0, times="_weight").cast("bigint")).alias(m + "_shares")
             for m in measures
         ],
     )

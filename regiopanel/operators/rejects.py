@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -26,14 +27,18 @@ def left_out_doses(
     lo: Bound,
     hi: Bound,
     unknown: str = UNKNOWN_PLACE,
+    levels: Sequence[int] | None = None,
+    no_place: str | None = None,
 ) -> DataFrame:
     """Rows and doses per reason that no table counts; each row has at most one reason.
 
-    ``listed`` holds the places of the panel in ``geo``, ``lo`` and ``hi`` are its days.  Rows are summed
-    by place and day before they meet the places, so a place with most rows is a row a day.
+    ``listed`` holds the places of the panel in ``geo``, ``lo`` and ``hi`` are its days, ``levels`` the declared
+    ones.  ``no_place`` names the reason of doses of the unknown place, which the country alone counts.  Rows
+    are summed by place and day before they meet the places, so a place with most rows is a row a day.
     """
     place = F.trim("place")
-    sums = doses.groupBy(place.alias("place"), "day").agg(
+    declared = F.lit(True) if levels is None else F.coalesce(F.col("status").isin(*levels), F.lit(False))
+    sums = doses.groupBy(place.alias("place"), "day", declared.alias("_declared")).agg(
         F.count("*").alias("n_rows"), F.coalesce(F.sum(F.col("doses").cast("bigint")), F.lit(0)).alias("amount")
     )
     sums = sums.withColumn("geo", F.col("place").try_cast("int"))
@@ -45,20 +50,41 @@ def left_out_doses(
         .when(nowhere & F.col("geo").isNull(), "unreadable place")
         .when(nowhere & F.col("_listed").isNull(), "unlisted place")
         .when(_outside("day", lo, hi), "outside the days")
+        .when(~F.col("_declared"), "undeclared level")
     )
+    if no_place:
+        reason = reason.when(~nowhere, no_place)
     found = sums.join(known, "geo", "left").select(reason.alias("reason"), "n_rows", "amount")
     return _summed(found)
 
 
-def left_out_cases(cases: DataFrame, lo: Bound, hi: Bound) -> DataFrame:
+def left_out_cases(cases: DataFrame, lo: Bound, hi: Bound, amount: str = "cases") -> DataFrame:
     """Rows and cases per reason that no table counts."""
     reason = (
         F.when(F.col("day").isNull(), "no day")
         .when(F.col("geo").isNull(), "no place")
         .when(_outside("day", lo, hi), "outside the days")
     )
-    amount = F.coalesce(F.col("cases").cast("bigint"), F.lit(0))
-    return _summed(cases.select(reason.alias("reason"), F.lit(1).alias("n_rows"), amount.alias("amount")))
+    number = F.coalesce(F.col(amount).cast("bigint"), F.lit(0))
+    return _summed(cases.select(reason.alias("reason"), F.lit(1).alias("n_rows"), number.alias("amount")))
+
+
+def left_out(
+    cases: DataFrame,
+    doses: DataFrame,
+    places: DataFrame,
+    lo: Bound,
+    hi: Bound,
+    levels: Sequence[int] | None = None,
+    no_place: str | None = None,
+) -> DataFrame:
+    """(feed, reason, n_rows, amount) of cases, deaths and doses, for a panel of these places and days."""
+    tall = {
+        "cases": left_out_cases(cases, lo, hi),
+        "deaths": left_out_cases(cases, lo, hi, "deaths"),
+        "doses": left_out_doses(doses, places, lo, hi, levels=levels, no_place=no_place),
+    }
+    return reduce(DataFrame.unionByName, [df.select(F.lit(name).alias("feed"), "*") for name, df in tall.items()])
 
 
 def _summed(found: DataFrame) -> DataFrame:

@@ -35,6 +35,17 @@ def day_span(fact: DataFrame, day: str = "day") -> DataFrame:
     return limits.select(F.explode(F.array("lo", "hi")).alias(day))
 
 
+def panel_days(
+    start: Bound | None, end: Bound | None, days_of: DataFrame | None, day: str = "day"
+) -> tuple[Column, Column]:
+    """First and last day of a panel: the given ones, else those of ``days_of``.
+
+    Everything that tells which days a panel holds must take them from here.
+    """
+    lo, hi = day_bounds(days_of, day) if days_of is not None else (None, None)
+    return _bound(start) if start is not None else lo, _bound(end) if end is not None else hi
+
+
 def _days(start: Column, end: Column) -> Column:
     """Each day between the bounds as a row; none where they are in the wrong order."""
     return F.explode(F.when(start <= end, F.sequence(start, end)))
@@ -101,9 +112,7 @@ def dense_panel(
     known = present(fact, geo, day)
     if days_of is None and (start is None or end is None):
         days_of = known.filter(F.col(anchor)) if anchor else known
-    lo, hi = day_bounds(days_of, day) if days_of is not None else (None, None)
-    lo = _bound(start) if start is not None else lo
-    hi = _bound(end) if end is not None else hi
+    lo, hi = panel_days(start, end, days_of, day)
 
     if start is not None or end is not None:
         inside, clamped = F.lit(True), F.col(day)

@@ -57,7 +57,8 @@ from regiopanel.plans.reference_sql import columns_of, indicator_columns, or_zer
 from regiopanel.plans.registry import register
 from regiopanel.plans.standins import CITY, OPTIONS, Standins
 from regiopanel.session import fresh_path
-from regiopanel.sinks.exports import formatted, replace_table, scan_table, write_delimited
+from regiopanel.sinks.exports import formatted, write_delimited
+from regiopanel.sinks.tables import replace_table, scan_table
 from regiopanel.sources.archives import unzip_rows, zip_partitions
 from regiopanel.sources.feeds import FEEDS, Feed
 from regiopanel.sources.readers import apply_types, lowercase_columns, read_feed

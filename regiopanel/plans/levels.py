@@ -8,10 +8,12 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from regiopanel.operators.allocate import allocate_proportional, append_subtotal
+from regiopanel.functions import round_ratio
+from regiopanel.operators.allocate import allocate_proportional
 from regiopanel.operators.doses import add_unknown_place_doses, doses_by_status, known_places, unknown_places
 from regiopanel.operators.enrich import (
     ICU,
+    ICU_SUMS,
     MOBILITY,
     enrich,
     hospital_incidence,
@@ -26,10 +28,11 @@ from regiopanel.operators.rollup import (
     attach_attributes,
     population_by_level,
     rollup_country,
+    rollup_levels,
     rollup_state,
     state_of,
 )
-from regiopanel.operators.spine import Bound, dense_panel, stack_facts
+from regiopanel.operators.spine import Bound, dense_panel, panel_days, present, stack_facts
 
 
 @dataclass(frozen=True)
@@ -54,7 +57,27 @@ class City:
         The parent key depends on the row: joins on a plain literal would lose their key.
         """
         parent = F.when(self.contains(), self.key).alias("parent")
-        return regions.select(parent, "geo", "population").filter(self.contains() & (F.col("geo") != self.key))
+        return regions.select(parent, "geo", "population").filter(self.is_district())
+
+    def is_district(self, geo: str = "geo") -> Column:
+        return self.contains(geo) & (F.col(geo) != self.key)
+
+    def with_whole(self, facts: DataFrame) -> DataFrame:
+        """The facts of districts once more under the key of the whole, before anything is summed."""
+        both = F.when(self.is_district(), F.array("geo", F.lit(self.key).cast(facts.schema["geo"].dataType)))
+        rest = [c for c in facts.columns if c != "geo"]
+        return facts.select(F.explode(F.coalesce(both, F.array("geo"))).alias("geo"), *rest)
+
+    def attributes(self, regions: DataFrame) -> DataFrame:
+        """The regions with one row for the whole; its population is that of all districts."""
+        own = {
+            "geo": F.lit(self.key).cast(regions.schema["geo"].dataType),
+            "name": F.lit(self.name),
+            "kind": F.lit(self.kind),
+            "population": F.sum("population"),
+        }
+        whole = regions.filter(self.is_district()).agg(*[own.get(c, F.max(c)).alias(c) for c in regions.columns])
+        return regions.filter(F.col("geo") != self.key).unionByName(whole)
 
 
 # The one city whose districts report cases while doses are published
@@ -94,6 +117,34 @@ def placed_doses(doses: DataFrame, options: Options = Options()) -> DataFrame:
     return doses_by_status(known_places(doses), ("geo", "day"), levels=options.dose_levels)
 
 
+def region_facts(
+    cases: DataFrame, placed: DataFrame, regions: DataFrame, options: Options = Options()
+) -> DataFrame:
+    """Cases and doses by region and day as they enter the panel, still in many rows.
+
+    Doses of the whole city are shared out over its districts by population.  ``is_primary`` marks what
+    makes a region part of the panel: its cases, or a share in the city's doses, which would be lost.
+    """
+    city = options.city
+    amounts = [dose_column(i) for i in options.dose_levels]
+    whole = placed.filter(F.col("geo") == city.key).withColumnRenamed("geo", "parent")
+    shared = allocate_proportional(whole, city.districts(regions), amounts).select("geo", "day", *amounts)
+    facts = stack_facts(
+        cases.select("geo", "day", "cases", "deaths"), placed.filter(F.col("geo") != city.key), anchor="is_primary"
+    )
+    shared = present(shared, "geo", "day").withColumn("is_primary", F.lit(True))
+    return facts.unionByName(shared, allowMissingColumns=True)
+
+
+def panel_places(
+    cases: DataFrame, placed: DataFrame, regions: DataFrame, options: Options = Options()
+) -> DataFrame:
+    """Keys under which doses reach the panel: its regions, and the whole city if there are districts to share over."""
+    own = present(region_facts(cases, placed, regions, options).filter("is_primary"), "geo", "day").select("geo")
+    whole = options.city.districts(regions).select(F.lit(options.city.key).cast("int").alias("geo"))
+    return own.unionByName(whole).distinct()
+
+
 def region_counts(
     cases: DataFrame,
     placed: DataFrame,
@@ -103,19 +154,22 @@ def region_counts(
 ) -> DataFrame:
     """Dense region panel of cases, deaths and doses with the region's attributes.
 
-    Cases and doses (``placed_doses``) are stacked and summed in one aggregation.  Doses
-    of the whole city are shared out over its districts by population.
+    Cases and doses (``placed_doses``) are stacked and summed in one aggregation.  With ``subtotal`` the
+    city's districts are also summed under the city's key, in the same aggregation; ``is_subtotal`` marks these
+    rows, which every roll-up excludes.  Cases must not be reported under that key as well.
     """
     city = options.city
-    amounts = [dose_column(i) for i in options.dose_levels]
-    whole = placed.filter(F.col("geo") == city.key).withColumnRenamed("geo", "parent")
-    shared = allocate_proportional(whole, city.districts(regions), amounts).select("geo", "day", *amounts)
-    facts = stack_facts(cases.select("geo", "day", "cases", "deaths"), placed, shared)
+    facts = region_facts(cases, placed, regions, options)
+    if days_of is None:
+        days_of = facts.filter("is_primary")
+    if options.subtotal:
+        facts, regions = city.with_whole(facts), city.attributes(regions)
     panel = dense_panel(
         facts, measures_of(options), start=options.start, end=options.end, anchor="is_primary", days_of=days_of
     )
     # the state follows from the key, also where a region has no attributes
-    return attach_attributes(panel, regions.drop("nuts", "vintage")).withColumn("state", state_of("geo"))
+    panel = attach_attributes(panel, regions.drop("nuts", "vintage")).withColumn("state", state_of("geo"))
+    return panel.withColumn("is_subtotal", (F.col("geo") == city.key) & F.lit(options.subtotal))
 
 
 def region_level(
@@ -131,16 +185,8 @@ def region_level(
 
     ``icu`` carries the region key and its state; ``counts`` comes from ``region_counts``.
     """
-    city, fill = options.city, options.fill
-    if options.subtotal:
-        counts = append_subtotal(
-            counts,
-            city.contains(),
-            city.key,
-            {"name": city.name, "kind": city.kind},
-            [*measures_of(options), "population"],
-        )
-    table = indicators(counts, dose_levels=options.dose_levels, mask=options.mask, missing=options.missing)
+    fill = options.fill
+    table = _indicators(counts, options)
     region_feeds = merge_feeds(
         ("geo", "day"), mobility_by_region(mobility, crosswalk), icu_occupancy(icu, ("geo", "day"))
     )
@@ -159,19 +205,45 @@ def _hospital_by_state(hospital: DataFrame, regions: DataFrame, options: Options
     return by_level.withColumnRenamed("level_id", "state")
 
 
-def state_level(
+def upper_counts(
     counts: DataFrame,
+    doses: DataFrame,
+    regions: DataFrame,
+    options: Options = Options(),
+    days_of: DataFrame | None = None,
+) -> DataFrame:
+    """Sums of the region panel by state and, under key 0, for the country, from one pass over it.
+
+    ``level`` tells them apart, ``geo`` is the key.  Doses without a region join the pass as rows of no
+    state, so that they count for the country only.
+    """
+    measures = measures_of(options)
+    lo, hi = panel_days(options.start, options.end, counts if days_of is None else days_of)
+    unknown = doses_by_status(unknown_places(doses), ("day",), levels=options.dose_levels)
+    unknown = unknown.filter(F.col("day").between(lo, hi))
+    # Their days are those of the panel, so each meets rows of it.
+    detail = counts.filter(~F.col("is_subtotal")).select("state", "day", *measures, "population")
+    rolled = rollup_levels(detail.unionByName(unknown, allowMissingColumns=True), [*measures, "population"])
+    rolled = rolled.filter((F.col("level") == "country") | F.col("state").isNotNull())
+    names = present(regions.select("state", "state_name"), "state").distinct()
+    rolled = rolled.join(names, "state", "left").withColumn("geo", F.coalesce("state", F.lit(COUNTRY)).cast("int"))
+    return rolled.select("level", "geo", "state", "state_name", "day", *measures, "population")
+
+
+def _indicators(counts: DataFrame, options: Options, geo: str = "geo") -> DataFrame:
+    return indicators(counts, geo=geo, dose_levels=options.dose_levels, mask=options.mask, missing=options.missing)
+
+
+def state_table(
+    rolled: DataFrame,
     mobility: DataFrame,
     icu: DataFrame,
     hospital: DataFrame,
     regions: DataFrame,
     options: Options = Options(),
 ) -> DataFrame:
-    """State panel, all indicators recomputed on the sums; mobility is joined by name."""
-    rolled = rollup_state(counts, [*measures_of(options), "population"], regions)
-    table = indicators(
-        rolled, geo="state", dose_levels=options.dose_levels, mask=options.mask, missing=options.missing
-    )
+    """State panel from the sums by state; mobility is joined by name."""
+    table = _indicators(rolled, options, "state")
     state_feeds = merge_feeds(
         ("state", "day"), icu_occupancy(icu, ("state", "day")), _hospital_by_state(hospital, regions, options)
     )
@@ -179,6 +251,35 @@ def state_level(
     return enrich(table, state_feeds, ("state", "day"), [*ICU, "hospital_incidence"], options.fill)
 
 
+def country_table(
+    rolled: DataFrame,
+    mobility: DataFrame,
+    icu: DataFrame,
+    hospital: DataFrame,
+    regions: DataFrame,
+    options: Options = Options(),
+) -> DataFrame:
+    """Country panel from the sums by day."""
+    table = _indicators(rolled, options)
+    overall = hospital.filter(F.col("level_id") == COUNTRY)
+    overall = hospital_incidence(overall, population_by_level(regions), age_groups=options.age_groups)
+    feeds = merge_feeds(("day",), mobility, icu_occupancy(icu, ("day",)), overall.drop("level_id"))
+    return enrich(table, feeds, ("day",), [*MOBILITY, *ICU, "hospital_incidence"], options.fill)
+
+
+def state_level(
+    counts: DataFrame,
+    mobility: DataFrame,
+    icu: DataFrame,
+    hospital: DataFrame,
+    regions: DataFrame,
+    options: Options = Options(),
+) -> DataFrame:
+    """State panel straight from the region panel, all indicators recomputed on the sums."""
+    rolled = rollup_state(counts, [*measures_of(options), "population"], regions)
+    return state_table(rolled, mobility, icu, hospital, regions, options)
+
+
 def country_level(
     counts: DataFrame,
     doses: DataFrame,
@@ -188,15 +289,94 @@ def country_level(
     regions: DataFrame,
     options: Options = Options(),
 ) -> DataFrame:
-    """Country panel; doses without a region count here only."""
+    """Country panel straight from the region panel; doses without a region count here only."""
     rolled = rollup_country(counts, [*measures_of(options), "population"])
     unknown = doses_by_status(unknown_places(doses), ("day",), levels=options.dose_levels)
     rolled = add_unknown_place_doses(rolled, unknown, levels=options.dose_levels)
-    table = indicators(rolled, dose_levels=options.dose_levels, mask=options.mask, missing=options.missing)
-    overall = hospital.filter(F.col("level_id") == COUNTRY)
-    overall = hospital_incidence(overall, population_by_level(regions), age_groups=options.age_groups)
-    feeds = merge_feeds(("day",), mobility, icu_occupancy(icu, ("day",)), overall.drop("level_id"))
-    return enrich(table, feeds, ("day",), [*MOBILITY, *ICU, "hospital_incidence"], options.fill)
+    return country_table(rolled, mobility, icu, hospital, regions, options)
+
+
+@dataclass(frozen=True)
+class LevelFeeds:
+    """Feeds of all levels under (level, geo, day); ``states`` are those that regions take from their state."""
+
+    own: DataFrame
+    states: DataFrame
+
+
+def level_feeds(
+    crosswalk: DataFrame,
+    mobility_region: DataFrame,
+    mobility_state: DataFrame,
+    mobility_country: DataFrame,
+    icu: DataFrame,
+    hospital: DataFrame,
+    regions: DataFrame,
+    options: Options = Options(),
+) -> LevelFeeds:
+    """Mobility, intensive care and hospital series of the three levels under each other.
+
+    Intensive-care sums of all levels come from one aggregation of the feed.
+    """
+    names = present(regions.select("state", "state_name"), "state").distinct()
+    country = F.lit(COUNTRY).cast("int").alias("geo")
+    by_state = mobility_state.join(names, "state_name").select(F.col("state").alias("geo"), "day", *MOBILITY)
+    mobility = tall = None
+    for level, df in (
+        ("region", mobility_by_region(mobility_region, crosswalk).select("geo", "day", *MOBILITY)),
+        ("state", by_state),
+        ("country", mobility_country.select(country, "day", *MOBILITY)),
+    ):
+        tall = df.select(F.lit(level).alias("level"), "*")
+        mobility = tall if mobility is None else mobility.unionByName(tall)
+    occupancy = icu_by_level(icu)
+    by_level = hospital_incidence(hospital, population_by_level(regions), age_groups=options.age_groups)
+    is_country = F.col("level_id") == COUNTRY
+    incidence = by_level.select(
+        F.when(is_country, "country").otherwise("state").alias("level"), F.col("level_id").alias("geo"), "day",
+        "hospital_incidence",
+    )
+    keys = ("level", "geo", "day")
+    parents = with_suffix(occupancy.filter("level = 'state'"), ICU)
+    states = merge_feeds(keys, parents, incidence.filter("level = 'state'")).drop("level")
+    return LevelFeeds(merge_feeds(keys, mobility, occupancy, incidence), states.withColumnRenamed("geo", "state"))
+
+
+def icu_by_level(icu: DataFrame) -> DataFrame:
+    """Occupancy by region, state and country from one pass over the feed."""
+    geo, state, day = F.col("geo"), F.col("state"), F.col("day")
+    sums = icu.groupingSets([[geo, state, day], [state, day], [day]], geo, state, day).agg(
+        F.grouping(geo).alias("_no_geo"), F.grouping(state).alias("_no_state"),
+        *[F.sum(F.col(c).cast("bigint")).alias(c) for c in ICU_SUMS],
+    )
+    level = F.when(F.col("_no_geo") == 0, "region").when(F.col("_no_state") == 0, "state").otherwise("country")
+    key = F.when(F.col("_no_geo") == 0, geo).when(F.col("_no_state") == 0, state).otherwise(COUNTRY).cast("int")
+    share = round_ratio("icu_cases", "beds_free + beds_occupied", 4)
+    return sums.select(level.alias("level"), key.alias("geo"), "day", share.alias("icu_share"), "icu_cases", "icu_ventilated")
+
+
+def all_levels(
+    counts: DataFrame, upper: DataFrame, feeds: LevelFeeds, options: Options = Options()
+) -> DataFrame:
+    """The three tables as one, told apart by ``level``; ``geo`` is the key of each level.
+
+    Regions keep the partitioning of their panel for their windows; the sums of the upper levels are few.
+    Feeds of all levels are joined once, and once more what regions take from their state.
+    """
+    regions = _indicators(counts, options).withColumn("level", F.lit("region"))
+    # The country's key is no state's, so one pass of windows serves both.
+    above = _indicators(upper, options).withColumn("is_subtotal", F.lit(False))
+    table = regions.unionByName(above, allowMissingColumns=True)
+    own = [*MOBILITY, *ICU, "hospital_incidence"]
+    table = enrich(table, feeds.own, ("level", "geo", "day"), own, None)
+    inherited = feeds.states.withColumnRenamed("hospital_incidence", "_of_state").withColumn("level", F.lit("region"))
+    parents = [c + "_parent" for c in ICU]
+    table = enrich(table, inherited, ("level", "state", "day"), [*parents, "_of_state"], None)
+    table = table.withColumn("hospital_incidence", F.coalesce("hospital_incidence", "_of_state")).drop("_of_state")
+    if options.fill is None:
+        return table
+    filled = {c: F.when(F.col("level") == "region", F.coalesce(c, F.lit(options.fill))).otherwise(F.col(c)) for c in parents}
+    return table.fillna(options.fill, subset=own).withColumns(filled)
 
 
 # Published column names, by canonical name.  The first layout is the plain

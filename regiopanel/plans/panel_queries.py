@@ -22,9 +22,10 @@ from regiopanel.operators.spine import (
     zero_fill_by_union,
 )
 from regiopanel.operators.windows import FRAMES, cumulate, dense_window_sums, first_event_table, window_sums
-from regiopanel.plans.levels import country_level, region_level, state_level
+from regiopanel.plans.levels import all_levels, country_table, level_feeds, region_level, state_table
 from regiopanel.plans.reference_sql import (
     DAY_SERIES,
+    PARTS,
     columns_of,
     indicator_columns,
     or_zero,
@@ -280,7 +281,7 @@ def doses_pivot(s: Standins) -> DataFrame:
     store="placed regions span",
 )
 def dose_quota(s: Standins) -> DataFrame:
-    table = indicators(s.counts)
+    table = indicators(s.counts.filter("not is_subtotal"))
     return table.select("geo", "day", "dose_quota_1", "dose_quota_2", "dose_quota_3")
 
 
@@ -483,39 +484,75 @@ STAMPED_REGION_SQL = _region_sql(
 
 
 def crosswalk_of(s: Standins) -> DataFrame:
-    return build_crosswalk(
+    pairs = build_crosswalk(
         s.regions, postal_codes(s.postal_nuts), postal_regions(s.postal_keys), s.mobility_region, (CITY.lo, CITY.hi)
     )
+    return s.kept(pairs, "crosswalk")
 
 
 @register(
     "DOM-01 DOM-02 DOM-03 DOM-04 DOM-05 DOM-06 DOM-07 DOM-08 DOM-09 DOM-10 DOM-11 DOM-12 DOM-13 DOM-16 DOM-18 DOM-19 "
     "DOM-20 DOM-21 FN-01 FN-03 FN-05",
     _region_sql(),
-    store="line_days regions counts span",
+    store="line_days by_level regions counts span crosswalk",
 )
 def affectedness_region(s: Standins) -> DataFrame:
     table = region_level(s.counts, crosswalk_of(s), s.mobility_region, s.icu, s.hospital, s.regions, OPTIONS)
     return table.select(*REGION_OUTPUT)
 
 
-@register("DOM-14 DOM-18 DOM-19 DOM-21 FN-02 FN-05", _state_sql(), store="line_days regions span")
+@register("DOM-14 DOM-18 DOM-19 DOM-21 FN-02 FN-05", _state_sql(), store="line_days by_level regions span upper")
 def affectedness_state(s: Standins) -> DataFrame:
-    table = state_level(s.counts, s.mobility_state, s.icu, s.hospital, s.regions, OPTIONS)
+    rolled = s.upper.filter("level = 'state'")
+    table = state_table(rolled, s.mobility_state, s.icu, s.hospital, s.regions, OPTIONS)
     return table.select(
         "state", "day", "state_name", *LEVEL_COLUMNS, *INDICATOR_COLUMNS, *MOBILITY_COLUMNS, *ICU_COLUMNS,
         "hospital_incidence",
     )
 
 
-@register("DOM-14 DOM-15 DOM-18 DOM-19 DOM-21 FN-02 FN-05", _country_sql(), store="line_days regions span")
+@register("DOM-14 DOM-15 DOM-18 DOM-19 DOM-21 FN-02 FN-05", _country_sql(), store="line_days by_level regions span upper")
 def affectedness_country(s: Standins) -> DataFrame:
-    table = country_level(s.counts, s.doses, s.mobility_country, s.icu, s.hospital, s.regions, OPTIONS)
+    rolled = s.upper.filter("level = 'country'").drop("state", "state_name", "level")
+    table = country_table(rolled, s.mobility_country, s.icu, s.hospital, s.regions, OPTIONS)
     return table.select(
         "day", *LEVEL_COLUMNS, *INDICATOR_COLUMNS, *MOBILITY_COLUMNS, *ICU_COLUMNS, "hospital_incidence"
     )
 
 
+ALL_LEVELS = ["level", *REGION_OUTPUT, "state_name"]
+
+
+def _all_levels_sql() -> str:
+    """The three tables under each other; columns that a level lacks are null."""
+    shared = [*LEVEL_COLUMNS, *INDICATOR_COLUMNS, *MOBILITY_COLUMNS, *ICU_COLUMNS, "hospital_incidence"]
+    parents = ", ".join(f"NULL AS {c}_parent" for c in ICU_COLUMNS)
+    columns = ", ".join(shared)
+    tables = [_region_sql(), _state_sql(), _country_sql()]
+    used = [name for name in PARTS if any(f"{name} AS MATERIALIZED (" in t for t in tables)]
+    parts = ",\n".join(f"{name} AS MATERIALIZED ({PARTS[name]})" for name in used)
+    region, state, country = (t[t.rindex("\nSELECT") :] for t in tables)
+    own = ", ".join(f"{c}_parent" for c in ICU_COLUMNS)
+    return f"""WITH {parts}
+    SELECT 'region' AS level, geo, day, state, name, kind, is_subtotal, (SELECT max(state_name) FROM reg WHERE reg.state = r.state)
+      AS state_name, {own}, {columns} FROM ({region}) r
+    UNION ALL SELECT 'state', state, day, state, NULL, NULL, FALSE, state_name, {parents}, {columns} FROM ({state})
+    UNION ALL SELECT 'country', 0, day, NULL, NULL, NULL, FALSE, NULL, {parents}, {columns} FROM ({country})"""
+
+
+@register(
+    "AGG-14 DOM-14 DOM-15 DOM-18 DOM-19 DOM-20 DOM-21 FN-02 FN-05 SET-01",
+    _all_levels_sql(),
+    store="line_days by_level regions counts span crosswalk upper",
+)
+def affectedness_all_levels(s: Standins) -> DataFrame:
+    """All three tables from one plan: one roll-up for both upper levels, feeds of all levels joined at once."""
+    feeds = level_feeds(
+        crosswalk_of(s), s.mobility_region, s.mobility_state, s.mobility_country, s.icu, s.hospital, s.regions, OPTIONS
+    )
+    return all_levels(s.counts, s.upper, feeds, OPTIONS).select(*ALL_LEVELS)
+
+
 @register(
     "WIN-02 DOM-08 DOM-09 DOM-10",
     with_parts(

@@ -17,8 +17,9 @@ from pyspark.sql import functions as F
 
 from regiopanel.functions import int_div, round_ratio
 from regiopanel.operators.spine import day_span
-from regiopanel.plans.levels import City, Options, placed_doses, region_counts
-from regiopanel.session import stored
+from regiopanel.plans.levels import City, Options, placed_doses, region_counts, upper_counts
+from regiopanel.session import fresh_path, stored
+from regiopanel.sinks.tables import Buckets, replace_table
 
 CITY = City(key=1000, lo=1000, hi=2000, name="Whole city", kind="city")
 OPTIONS = Options(city=CITY)
@@ -167,10 +168,21 @@ class Standins:
 
     @cached_property
     def counts(self) -> DataFrame:
-        """Dense region panel of cases, deaths and doses."""
-        span = self.kept(day_span(self.case_days), "span")
-        panel = region_counts(self.cases, self.placed, self.regions, OPTIONS, days_of=span)
-        return self.kept(panel, "counts")
+        """Dense region panel of cases, deaths and doses; where it is stored, windows by region need no exchange."""
+        panel = region_counts(self.cases, self.placed, self.regions, OPTIONS, days_of=self.span)
+        if "counts" not in self._store:
+            return panel
+        buckets = Buckets(int(self.spark.conf.get("spark.sql.shuffle.partitions")), ("geo",), ("day",))
+        return replace_table(panel, fresh_path(self.spark, "counts"), buckets)
+
+    @cached_property
+    def span(self) -> DataFrame:
+        return self.kept(day_span(self.case_days), "span")
+
+    @cached_property
+    def upper(self) -> DataFrame:
+        """Sums of the region panel by state and for the country."""
+        return self.kept(upper_counts(self.counts, self.doses, self.regions, OPTIONS, days_of=self.span), "upper")
 
     @cached_property
     def doses(self) -> DataFrame:
@@ -179,11 +191,26 @@ class Standins:
         status = F.coalesce(*[F.when(F.col("l_returnflag") == k, v) for k, v in STATUS.items()])
         return self.line_days.select("day", place.alias("place"), status.alias("status"), F.col("n").alias("doses"))
 
-    def _mobility(self, *keys: str) -> DataFrame:
-        sums = self.line_days.groupBy(*keys, "day").agg(
-            *[F.sum(c).alias(c) for c in ("n", "quantity", "discount", "tax")]
+    @cached_property
+    def by_level(self) -> DataFrame:
+        """Sums of the lines by place, state and country, from one pass: what mobility and intensive care need."""
+        free = F.col("l_returnflag") == "A"
+        keyed = self.line_days.withColumn("state", int_div("geo", 1000).cast("int"))
+        geo, nuts, state, day = (F.col(c) for c in ("geo", "nuts", "state", "day"))
+        sums = keyed.groupingSets([[geo, nuts, state, day], [state, day], [day]], geo, nuts, state, day).agg(
+            F.grouping(geo).alias("_no_geo"),
+            F.grouping(state).alias("_no_state"),
+            *[F.sum(c).alias(c) for c in ("n", "quantity", "discount", "tax")],
+            F.sum("n_open").alias("icu_cases"),
+            F.sum("n_heavy").alias("icu_ventilated"),
+            F.sum(F.when(free, F.col("n")).otherwise(0)).alias("beds_free"),
+            F.sum(F.when(free, 0).otherwise(F.col("n"))).alias("beds_occupied"),
         )
-        return sums.select(
+        level = F.when(F.col("_no_geo") == 0, "region").when(F.col("_no_state") == 0, "state").otherwise("country")
+        return self.kept(sums.withColumn("level", level).drop("_no_geo", "_no_state"), "by_level")
+
+    def _mobility(self, level: str, *keys: str) -> DataFrame:
+        return self.by_level.filter(F.col("level") == level).select(
             *keys,
             "day",
             round_ratio("discount", "n", 4).alias("mobility_change"),
@@ -193,45 +220,22 @@ class Standins:
 
     @cached_property
     def mobility_region(self) -> DataFrame:
-        return self._mobility("nuts")
+        return self._mobility("region", "nuts")
 
     @cached_property
     def mobility_state(self) -> DataFrame:
         names = self.regions.select("state", "state_name").distinct()
-        by_state = self._mobility_keyed_by_state()
-        return by_state.join(names, "state").drop("state")
-
-    def _mobility_keyed_by_state(self) -> DataFrame:
-        keyed = self.line_days.withColumn("state", int_div("geo", 1000).cast("int"))
-        sums = keyed.groupBy("state", "day").agg(
-            *[F.sum(c).alias(c) for c in ("n", "quantity", "discount", "tax")]
-        )
-        return sums.select(
-            "state",
-            "day",
-            round_ratio("discount", "n", 4).alias("mobility_change"),
-            round_ratio("quantity", "n", 4).alias("mobility_change_7day_average"),
-            round_ratio("tax", "n", 4).alias("mobility_change_weekly"),
-        )
+        return self._mobility("state", "state").join(names, "state").drop("state")
 
     @cached_property
     def mobility_country(self) -> DataFrame:
-        return self._mobility()
+        return self._mobility("country")
 
     @cached_property
     def icu(self) -> DataFrame:
         """geo, day, icu_cases, icu_ventilated, beds_free, beds_occupied, state."""
-        free = F.col("l_returnflag") == "A"
-        return (
-            self.line_days.groupBy("geo", "day")
-            .agg(
-                F.sum("n_open").alias("icu_cases"),
-                F.sum("n_heavy").alias("icu_ventilated"),
-                F.sum(F.when(free, F.col("n")).otherwise(0)).alias("beds_free"),
-                F.sum(F.when(free, 0).otherwise(F.col("n"))).alias("beds_occupied"),
-            )
-            .withColumn("state", int_div("geo", 1000).cast("int"))
-        )
+        places = self.by_level.filter("level = 'region'")
+        return places.select("geo", "day", "icu_cases", "icu_ventilated", "beds_free", "beds_occupied", "state")
 
     @cached_property
     def hospital(self) -> DataFrame:

@@ -5,7 +5,8 @@ from pyspark.sql import functions as F
 
 from helpers import day, rows
 from regiopanel.session import fresh_path, shared_folder, stored
-from regiopanel.sinks.exports import export_levels, formatted, replace_table, scan_table
+from regiopanel.sinks.exports import export_levels, formatted, read_ordered, write_ordered
+from regiopanel.sinks.tables import Buckets, replace_table, scan_table
 from regiopanel.sources.archives import read_zip_member
 from regiopanel.sources.feeds import FEEDS, Feed, catalog
 from regiopanel.sources.readers import read_declared, read_feed
@@ -78,9 +79,29 @@ def test_formats(spark):
 
 def test_exported_files(spark, tmp_path):
     df = spark.createDataFrame([(1001, day(1), 46.7, None)], "kgs int, meldedatum date, inzidenz double, r double")
-    paths = export_levels({"tab": df}, str(tmp_path))
-    lines = sorted({r[0] for r in spark.read.text(paths["tab"]).collect()})
-    assert lines == ["1001;2020-01-01;46,7;", "kgs;meldedatum;inzidenz;r"]
+    paths = export_levels({"tab": (df, ["kgs"])}, str(tmp_path))
+    assert rows(read_ordered(spark, paths["tab"])) == [(1, "kgs;meldedatum;inzidenz;r"), (2, "1001;2020-01-01;46,7;")]
+
+
+def test_parts_of_an_export_are_in_order(spark, tmp_path):
+    """Many parts, put together by name, are sorted and hold the header once; odd texts are quoted."""
+    n = 5000
+    df = spark.range(n).select(
+        (F.lit(n) - F.col("id")).alias("key"), F.when(F.col("id") % 7 == 0, 'a;"b').when(F.col("id") % 5 > 0, " x ").alias("name")
+    )
+    text = formatted(df.withColumn("by", F.col("key")), untouched=["by"])
+    path = str(tmp_path / "parts")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        write_ordered(text.repartition(6), path, ["by"], ["key", "name"])
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    parts = sorted(p for p in tmp_path.joinpath("parts").iterdir() if p.name.startswith("part-"))
+    assert len(parts) > 1
+    joined = "".join(p.read_text() for p in parts).splitlines()
+    assert joined[0] == "key;name" and [int(x.split(";")[0]) for x in joined[1:]] == list(range(1, n + 1))
+    assert sorted(read_ordered(spark, path).collect()) == [(i + 1, x) for i, x in enumerate(joined)]
+    assert {x.split(";", 1)[1] for x in joined[1:]} == {'"a;\\"b"', " x ", ""}
 
 
 def test_tables_are_replaced(spark, tmp_path):
@@ -95,3 +116,51 @@ def test_stored_tables_go_to_the_shared_folder(spark):
     assert out.count() == 4
     assert out.inputFiles()[0].replace("file://", "").startswith(shared_folder(spark))
     assert fresh_path(spark, "a") != fresh_path(spark, "a")
+
+
+def files_of(path):
+    return sorted(p.name for p in path.iterdir() if not p.name.startswith("."))
+
+
+def test_a_failed_write_leaves_the_table_as_it_was(spark, tmp_path):
+    path = str(tmp_path / "t")
+    replace_table(spark.range(3), path)
+    before = files_of(tmp_path / "t")
+    broken = spark.range(100, numPartitions=4).select(F.when(F.col("id") < 99, F.col("id")).otherwise(F.raise_error(F.lit("broken"))))
+    with pytest.raises(Exception, match="broken"):
+        replace_table(broken, path)
+    assert files_of(tmp_path / "t") == before and scan_table(spark, path).count() == 3
+    # a run that dies writes no pointer either
+    spark.range(9).write.parquet(f"{path}/v-{'0' * 32}")
+    assert scan_table(spark, path).count() == 3
+
+
+def test_runs_side_by_side_publish_whole_versions(spark, tmp_path):
+    path = str(tmp_path / "t")
+    from concurrent.futures import ThreadPoolExecutor
+
+    with ThreadPoolExecutor(4) as pool:
+        out = list(pool.map(lambda n: replace_table(spark.range(n), path, keep=10).count(), range(1, 9)))
+    assert out == list(range(1, 9)) and scan_table(spark, path).count() in out
+    # a table may be made of itself, and the version before is still there for those who read it
+    old = scan_table(spark, path)
+    size = old.count()
+    replace_table(old.unionByName(old), path)
+    assert scan_table(spark, path).count() == 2 * size and old.count() == size
+    for _ in range(3):
+        replace_table(spark.range(1), path)
+    assert sum(n.startswith("v-") for n in files_of(tmp_path / "t")) == 2
+
+
+def test_a_bucketed_table_is_read_without_exchange(spark, tmp_path):
+    from pyspark.sql import Window
+
+    path = str(tmp_path / "t")
+    df = spark.range(4000).select((F.col("id") % 37).cast("int").alias("geo"), F.col("id").alias("n"))
+    replace_table(df, path, Buckets(4, ("geo",), ("n",)))
+    spark.sql(f"drop table {scan_table(spark, path).inputFiles() and spark.catalog.listTables()[-1].name}")
+    # a session that never saw the table knows its buckets, too
+    again = scan_table(spark, path)
+    sums = again.select("geo", F.sum("n").over(Window.partitionBy("geo").orderBy("n")).alias("total"))
+    assert "Exchange" not in sums._jdf.queryExecution().executedPlan().toString()
+    assert rows(again.groupBy("geo").count().agg(F.count("*"), F.sum("count"))) == [(37, 4000)]

@@ -7,7 +7,8 @@ import pytest
 from helpers import rows
 from regiopanel.operators.quality import DataCheckError
 from regiopanel.plans.levels import Options, extended_layout, plain_layout
-from regiopanel.plans.pipeline import OUTPUTS, Pipeline
+from regiopanel.plans.pipeline import OUTPUTS, Pipeline, StaleError
+from regiopanel.sinks.exports import read_ordered
 from regiopanel.sources.feeds import catalog
 
 START = date(2021, 12, 1)
@@ -100,17 +101,27 @@ def test_reports_are_stored(run):
     assert pipeline.table("codes_without_region").count() == 0
 
 
+def exported(spark, path):
+    """What an export's parts hold, put together in the order of their lines."""
+    lines = [r.line for r in sorted(read_ordered(spark, path).collect())]
+    return spark.createDataFrame([x.split(";") for x in lines[1:]], lines[0].split(";"))
+
+
 def test_exports(run, spark):
     pipeline, _ = run
-    plain = spark.read.option("header", True).option("sep", ";").csv(f"{pipeline.folder}/plain/{OUTPUTS['region']}.csv")
+    plain = exported(spark, f"{pipeline.folder}/plain/{OUTPUTS['region']}.csv")
+    keys = [(int(r.kgs), r.meldedatum) for r in plain.collect()]
+    assert len(keys) == 90 and keys == sorted(keys)
     assert plain.columns[:5] == ["meldedatum", "kgs", "anzahlfall", "anzahltodesfall", "einwohner"]
     assert plain.columns[-4:-1] == ["intensivbetten_bdl", "faelle_covid_aktuell_bdl", "faelle_covid_akt_invasiv_beatmet_bdl"]
     row = plain.filter("kgs = '1001' and meldedatum = '2021-12-18'").collect()[0]
     assert row.inzidenz == "116,7" and row.quote_impfung_3 == "0,001"
-    extended = spark.read.option("header", True).option("sep", ";").csv(f"{pipeline.folder}/extended/{OUTPUTS['region']}.csv")
+    extended = exported(spark, f"{pipeline.folder}/extended/{OUTPUTS['region']}.csv")
     row = extended.filter("kgs5 = '01001' and melde_dat = '18.12.2021'").collect()[0]
     assert row.infektionsrate == "0.18%" and row.rki_impf_stand == "03.12.2021" and row.anz_impfung_3_kum == "90"
-    state = spark.read.option("header", True).option("sep", ";").csv(f"{pipeline.folder}/extended/{OUTPUTS['state']}.csv")
+    state = exported(spark, f"{pipeline.folder}/extended/{OUTPUTS['state']}.csv")
+    country = exported(spark, f"{pipeline.folder}/extended/{OUTPUTS['country']}.csv").collect()
+    assert [r.melde_dat for r in country] == [f"{d:%d.%m.%Y}" for d in DAYS]
     assert "kgs2" in state.columns and rows(state.select("kgs2").distinct()) == [("01",), ("11",)]
 
 
@@ -158,17 +169,20 @@ def test_what_is_left_out_is_reported(spark, tmp_path):
     options = Options(start=START, strict=False)
     pipeline = Pipeline(spark, catalog(str(tmp_path)), str(tmp_path / "out"), options)
     tables = pipeline.run(["read", "region", "state", "country"])
-    assert rows(pipeline.table("left_out")) == sorted([
+    assert sorted(rows(pipeline.table("left_out")), key=lambda r: tuple(map(str, r))) == sorted([
         ("cases", "no day", 1, 50), ("cases", "no place", 1, 50), ("doses", "no day", 1, 100), ("doses", "no place", 1, 40),
         ("doses", "unreadable place", 1, 3), ("doses", "unlisted place", 1, 30), ("doses", "outside the days", 2, 22),
-    ])
+        ("deaths", "no day", 1, 0), ("deaths", "no place", 1, 0), ("doses", "no known place", 2, 12),
+    ], key=lambda r: tuple(map(str, r)))
     assert rows(pipeline.table("field_errors")) == [("cases", 1, 1), ("doses", 1, 1)]
     # what was read is what the tables hold and what was left out
     held = tables["country"].agg({"cases": "sum"}).first()[0]
     held_doses = tables["country"].selectExpr("sum(doses_1 + doses_2 + doses_3)").first()[0]
-    read = {n: pipeline.table(n).agg({n: "sum"}).first()[0] for n in ("cases", "doses")}
-    out = {r.feed: r.n for r in pipeline.table("left_out").groupBy("feed").agg({"amount": "sum"}).toDF("feed", "n").collect()}
-    assert read == {"cases": held + out["cases"], "doses": held_doses + out["doses"]}
+    account = {(r.level, r.feed): r for level in tables for r in pipeline.table(f"ledger_{level}").collect()}
+    assert all(r.difference == 0 for r in account.values()) and len(account) == 9
+    assert account["country", "cases"].in_table == held and account["country", "doses"].in_table == held_doses
+    assert account["country", "doses"].n_read == 112 + 195 and account["country", "doses"].left_out == 195
+    assert account["region", "doses"].left_out == 195 + 12
     strict = replace(options, strict=True)
     with pytest.raises(DataCheckError, match="unreadable"):
         Pipeline(spark, catalog(str(tmp_path)), str(tmp_path / "strict"), strict).run(["read"])
@@ -191,3 +205,67 @@ def test_repeated_feed_rows_are_refused(spark, tmp_path):
     with pytest.raises(DataCheckError, match="repeated"):
         pipeline.run(["read"])
     assert rows(pipeline.table("repeated_keys")) == [("mobility_state", "Berlin 2021-12-02", 2)]
+
+
+def test_days_before_the_first_case_count(spark, tmp_path):
+    """The panel and the report of what it leaves out go by the same bounds."""
+    write_feeds(tmp_path)
+    append(tmp_path, DOSES, "2021-11-28,1001,60+,1,9", "2021-11-20,1001,60+,1,70", "2021-12-30,1001,60+,2,4")
+    for name, (start, end, inside) in {
+        "early": (date(2021, 11, 25), date(2021, 12, 31), 9 + 4), "late": (date(2021, 12, 3), None, 0),
+        "open": (None, None, 0),
+    }.items():
+        options = Options(start=start, end=end)
+        pipeline = Pipeline(spark, catalog(str(tmp_path)), str(tmp_path / name), options)
+        table = pipeline.run(["read", "region", "state", "country"])["country"]
+        held = table.selectExpr("sum(doses_1 + doses_2 + doses_3)").first()[0]
+        base = 112 if name != "late" else 90
+        assert held == base + inside
+        assert all(r.difference == 0 for l in ("region", "state", "country") for r in pipeline.table(f"ledger_{l}").collect())
+        first = table.agg({"day": "min"}).first()[0]
+        assert first == (start or DAYS[0])
+
+
+def test_shares_of_a_district_without_cases_are_kept(spark, tmp_path):
+    write_feeds(tmp_path)
+    path = tmp_path / "rki_covid19.csv"
+    path.write_text("".join(x for x in path.read_text().splitlines(True) if not x.startswith("11003,")))
+    pipeline = Pipeline(spark, catalog(str(tmp_path)), str(tmp_path / "out"), Options(start=START))
+    tables = pipeline.run(["read", "region", "state", "country"])
+    second = {r.geo: r for r in tables["region"].filter("day = '2021-12-02'").collect()}
+    assert [second[g].doses_1 for g in (11001, 11002, 11003, 11000)] == [3, 3, 4, 10] and second[11003].cases == 0
+    assert {r.difference for r in pipeline.table("ledger_region").collect()} == {0}
+
+
+def test_cases_under_the_key_of_the_whole_city_are_refused(spark, tmp_path):
+    write_feeds(tmp_path)
+    append(tmp_path, "rki_covid19.csv", FACTS.replace("17000", "11000"))
+    with pytest.raises(DataCheckError, match="whole city"):
+        Pipeline(spark, catalog(str(tmp_path)), str(tmp_path / "out"), Options(strict=False)).run(["read"])
+
+
+def test_unchanged_stages_are_skipped_and_stale_ones_refused(spark, tmp_path):
+    write_feeds(tmp_path)
+    feeds, folder = catalog(str(tmp_path)), str(tmp_path / "out")
+    pipeline = Pipeline(spark, feeds, folder, Options(start=START))
+    pipeline.run(["read", "region", "state"])
+    before = {n: pipeline.version(n) for n in ("cases", OUTPUTS["region"], OUTPUTS["state"])}
+    again = Pipeline(spark, feeds, folder, Options(start=START))
+    again.run(["read", "region", "state"])
+    assert {n: again.version(n) for n in before} == before
+    # other options: what was stored doesn't belong to them
+    with pytest.raises(StaleError, match="read"):
+        Pipeline(spark, feeds, folder, Options(start=START, mask=False)).run(["state"])
+    append(tmp_path, "rki_covid19.csv", FACTS.replace("17000", "1001"))
+    with pytest.raises(StaleError):
+        again.run(["country"])
+    again.run(["read", "region", "country"])
+    assert again.version("cases") != before["cases"] and not again.is_current("state")
+    # a table replaced by hand is not what the stage made
+    again.store("upper_counts", again.table("upper_counts"))
+    assert not again.is_current("region")
+
+
+def test_the_null_profile_is_stored(run):
+    pipeline, _ = run
+    assert ("regions", "nuts", 3) in rows(pipeline.table("nulls"))
