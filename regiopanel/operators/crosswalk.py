@@ -74,6 +74,22 @@ def build_crosswalk(
     return known.unionByName(repaired)
 
 
+def one_code_each(
+    crosswalk: DataFrame, own: DataFrame, codes: DataFrame, regions_by_postal: DataFrame
+) -> DataFrame:
+    """(nuts, geo, n_shared) with one code for each region, so that a join keeps the number of rows.
+
+    Of several codes a region takes its own, else the one it shares most postal codes with, else the smallest.
+    """
+    shared = codes.join(regions_by_postal, "postal").groupBy("nuts", "geo").agg(F.count("*").alias("n_shared"))
+    kept = own.select("nuts", "geo").distinct().withColumn("_own", F.lit(True))
+    found = crosswalk.join(shared, ["nuts", "geo"], "left").join(kept, ["nuts", "geo"], "left")
+    weight = F.coalesce("n_shared", F.lit(0).cast("bigint"))
+    first = F.min(F.struct(F.col("_own").isNull().alias("other"), (-weight).alias("less"), "nuts"))
+    best = found.groupBy("geo").agg(first.alias("_best"))
+    return best.select("_best.nuts", "geo", (-F.col("_best.less")).alias("n_shared"))
+
+
 def crosswalk_report(crosswalk: DataFrame, needed: DataFrame) -> dict[str, DataFrame]:
     """Regions with several codes, codes with several regions, and codes still without one."""
     return {

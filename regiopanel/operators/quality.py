@@ -62,6 +62,43 @@ def missing_days(df: DataFrame, day: str = "day") -> DataFrame:
     return date_spine(df.sparkSession, lo, hi, day).join(seen, day, "left_anti")
 
 
+def missing_days_by_key(df: DataFrame, key: str, day: str = "day") -> DataFrame:
+    """Days present and missing between the first and the last of each key, and the gaps they form.
+
+    One aggregation: the days of a key are bits of a map, so counting them needs neither a distinct nor an
+    expanded row per count.  A map holds 32,768 days; keys whose days lie further apart have several.
+    """
+    number = F.unix_date(day)
+    maps = present(df, key, day).groupBy(key, F.bitmap_bucket_number(number).alias("_map")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(number)).alias("_bits"),
+        F.min(number).alias("_first"), F.max(number).alias("_last"), F.count("*").alias("n_rows"),
+    )
+    # The days of a map in order: bits that are set, eight to a byte, the lowest first.
+    byte = "cast(conv(hex(substr(_bits, cast(p div 8 + 1 as int), 1)), 16, 10) as int)"
+    position = "bitmap_bit_position(d)"
+    days = F.expr(
+        "filter(sequence(_first, _last), d -> "
+        + f"(shiftright({byte}, cast(p % 8 as int)) & 1) = 1".replace("p div", f"{position} div").replace("p %", f"{position} %")
+        + ")"
+    )
+    listed = maps.select(key, "n_rows", F.bitmap_count("_bits").alias("n"), days.alias("days"))
+    whole = listed.groupBy(key).agg(
+        F.sum("n_rows").alias("n_rows"), F.sum("n").alias("n_days"),
+        F.sort_array(F.flatten(F.collect_list("days"))).alias("days"),
+    )
+    steps = F.expr("transform(sequence(1, size(days)), i -> coalesce(get(days, i) - get(days, i - 1), 1) - 1)")
+    return whole.select(key, "n_rows", "n_days", "days", steps.alias("_steps")).select(
+        key,
+        F.date_from_unix_date(F.expr("days[0]")).alias("first_day"),
+        F.date_from_unix_date(F.expr("days[size(days) - 1]")).alias("last_day"),
+        "n_rows",
+        "n_days",
+        F.aggregate("_steps", F.lit(0), lambda a, x: a + x).cast("bigint").alias("n_missing"),
+        F.size(F.filter("_steps", lambda x: x > 0)).alias("n_gaps"),
+        F.array_max("_steps").alias("longest_gap"),
+    )
+
+
 def profile_nulls(df: DataFrame) -> DataFrame:
     """Columns with nulls and how many, most first; one pass over the data."""
     counts = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in df.columns])

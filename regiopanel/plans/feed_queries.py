@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from dataclasses import replace
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -20,7 +18,7 @@ from regiopanel.functions import (
     ratio_or_zero,
     round_ratio,
 )
-from regiopanel.operators.crosswalk import crosswalk_report, postal_codes, postal_regions
+from regiopanel.operators.crosswalk import crosswalk_report, one_code_each, pairs_by_postal, postal_codes, postal_regions
 from regiopanel.operators.doses import unexpected_levels, unknown_places
 from regiopanel.operators.enrich import (
     ICU,
@@ -35,6 +33,7 @@ from regiopanel.operators.quality import (
     distinct_counts,
     duplicate_keys,
     missing_days,
+    missing_days_by_key,
     profile_nulls,
     profile_time_series,
     total_lookup,
@@ -46,22 +45,19 @@ from regiopanel.operators.spine import dense_panel
 from regiopanel.operators.vintage import latest, stamp_vintage, stamp_vintages
 from regiopanel.plans.levels import VINTAGES
 from regiopanel.plans.panel_queries import (
-    REGION_OUTPUT,
-    STAMPED_REGION_SQL,
     case_indicators,
     crosswalk_of,
     peopled_panel,
 )
-from regiopanel.plans.pipeline import Pipeline
 from regiopanel.plans.reference_sql import columns_of, indicator_columns, or_zero, rounded, with_parts
 from regiopanel.plans.registry import register
-from regiopanel.plans.standins import CITY, OPTIONS, Standins
+from regiopanel.plans.standins import CITY, Standins
 from regiopanel.session import fresh_path
 from regiopanel.sinks.exports import formatted, write_delimited
 from regiopanel.sinks.tables import replace_table, scan_table
 from regiopanel.sources.archives import unzip_rows, zip_partitions
-from regiopanel.sources.feeds import FEEDS, Feed
-from regiopanel.sources.readers import apply_types, lowercase_columns, read_feed
+from regiopanel.sources.feeds import Feed
+from regiopanel.sources.readers import apply_types, lowercase_columns, read_declared, read_feed
 
 # --- crosswalk ---------------------------------------------------------------------------
 
@@ -734,9 +730,10 @@ def csv_declared_scan(s: Standins) -> DataFrame:
     # a null amount is left out together with its separator: a short row
     lines = s.table("orders").select(F.concat_ws(",", day, place, group, status, amount).alias("value"))
     path = fresh_path(s.spark, "declared")
-    lines.write.text(path)
-    raw = s.spark.read.schema(", ".join(f"`{n}` STRING" for n in DECLARED)).csv(path)
-    return apply_types(raw, DECLARED, "n_errors")
+    # Written through the CSV writer for its header alone: what follows is a line each, already delimited.
+    header = ",".join(c.upper() for c in DECLARED)
+    lines.select(F.col("value").alias(header)).write.option("header", True).option("quote", "").option("sep", "\x01").csv(path)
+    return read_declared(s.spark, path, DECLARED)
 
 
 @register(
@@ -829,30 +826,38 @@ def export_formatted(s: Standins) -> DataFrame:
     return _exported_lines(s, _exported_panel(s), **style)
 
 
-def _published(s: Standins, name: str, df: DataFrame) -> Feed:
-    """Write a stand-in feed as the delimited file the published one is."""
-    feed = FEEDS[name]
-    out = []
-    for source, (column, kind) in feed.columns.items():
-        value = F.col(column) if column in df.columns else F.lit(None)
-        text = day_text(value) if kind == "german_day" else value.cast("string")
-        out.append(text.alias(source.upper()))
-    path = fresh_path(s.spark, name)
-    df.select(*out).write.option("header", True).option("sep", feed.sep).option("quote", feed.quote).csv(path)
-    return replace(feed, path=path, member=None)
-
-
-@register(
-    "SNK-06 FN-04 FN-05 FN-06 SRC-08 SNK-03 SNK-05 DOM-25",
-    STAMPED_REGION_SQL,
-    store="line_days regions",
-)
-def staged_run_region(s: Standins) -> DataFrame:
-    """All feeds as files, read, checked, stored and built by the stages of a run."""
-    cases = s.cases.withColumns({"reference_day": F.col("day"), "vintage": F.lit("2001-12-31").cast("date")})
-    feeds = {"cases": cases, **{n: getattr(s, n) for n in FEEDS if n != "cases"}}
-    files = {name: _published(s, name, df) for name, df in feeds.items()}
-    options = replace(OPTIONS, strict=False)
-    run = Pipeline(s.spark, files, fresh_path(s.spark, "run"), options)
-    table = run.run(["read", "region"])["region"]
-    return table.select(*REGION_OUTPUT, *VINTAGES)
+SHARED_CODES = """p AS (SELECT DISTINCT 'N' || CAST(s_suppkey % 7 AS VARCHAR) AS nuts, s_suppkey AS postal,
+  (n_regionkey + 1) * 1000 + n_nationkey + 1 AS geo FROM supplier JOIN nation ON s_nationkey = n_nationkey),
+w AS (SELECT geo, nuts, count(*) AS n_shared FROM p GROUP BY geo, nuts)"""
+
+
+@register(
+    "DOM-16 DOM-17",
+    f"""WITH {SHARED_CODES} SELECT geo, nuts, n_shared FROM w
+    QUALIFY row_number() OVER (PARTITION BY geo ORDER BY n_shared DESC, nuts) = 1""",
+)
+def crosswalk_weighted(s: Standins) -> DataFrame:
+    """Regions whose postal codes lie in several codes take the one they share most with: one row a region."""
+    suppliers = s.table("supplier").join(s.nations, F.col("s_nationkey") == F.col("n_nationkey"))
+    code = F.concat(F.lit("N"), (F.col("s_suppkey") % 7).cast("string"))
+    codes = suppliers.select(code.alias("nuts"), F.col("s_suppkey").cast("int").alias("postal"))
+    postal = suppliers.select(F.col("s_suppkey").cast("int").alias("postal"), "geo")
+    none = codes.select("nuts", F.lit(0).alias("geo")).limit(0)
+    return one_code_each(pairs_by_postal(codes, postal), none, codes, postal)
+
+
+@register(
+    "DOM-22 AGG-06",
+    with_parts(
+        """SELECT geo, min(day) AS first_day, max(day) AS last_day, CAST(sum(n) AS BIGINT) AS n_rows, count(*) AS n_days,
+        CAST(max(day) - min(day) + 1 - count(*) AS BIGINT) AS n_missing,
+        CAST(count(*) FILTER (step > 1) AS INTEGER) AS n_gaps, CAST(coalesce(max(step), 1) - 1 AS INTEGER) AS longest_gap
+        FROM (SELECT geo, day, n, lead(day) OVER (PARTITION BY geo ORDER BY day) - day AS step
+          FROM (SELECT geo, day, count(*) AS n FROM fact GROUP BY geo, day)) GROUP BY geo""",
+        "fact",
+    ),
+    "missing_days_by_key",
+)
+def days_missing_by_region(s: Standins) -> DataFrame:
+    """Gaps in the reports of each region, from one map of bits each."""
+    return missing_days_by_key(s.cases, "geo")

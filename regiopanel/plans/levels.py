@@ -89,8 +89,9 @@ BERLIN = City(key=11000, lo=11000, hi=12000, name="Berlin", kind="Kreisfreie Sta
 class Options:
     """Choices of a run.
 
-    ``strict`` refuses feeds whose codes do not all lead to a region; ``age_groups`` are the
-    hospital age rows to sum, all of them by default.
+    ``strict`` refuses feeds whose codes do not all lead to a region; ``several_codes`` says what becomes of a
+    region that matches several codes: ``refuse`` stops the run, ``weighted`` takes the one it shares most
+    postal codes with.  ``age_groups`` are the hospital age rows to sum, all of them by default.
     """
 
     start: Bound | None = None
@@ -101,6 +102,7 @@ class Options:
     fill: float | None = None
     subtotal: bool = True
     strict: bool = True
+    several_codes: str = "refuse"
     age_groups: Sequence[str] | None = None
     city: City = field(default=BERLIN)
 

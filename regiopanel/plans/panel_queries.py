@@ -433,7 +433,7 @@ MOBILITY_COLUMNS = ["mobility_change", "mobility_change_7day_average", "mobility
 ICU_COLUMNS = ["icu_share", "icu_cases", "icu_ventilated"]
 
 
-def _region_sql(extra: str = "") -> str:
+def region_sql(extra: str = "") -> str:
     parents = ", ".join(f"p.{c} AS {c}_parent" for c in ICU_COLUMNS)
     return with_parts(
         f"""SELECT t.geo, t.day, state, name, kind, is_subtotal, {", ".join("t." + c for c in LEVEL_COLUMNS)},
@@ -448,28 +448,28 @@ def _region_sql(extra: str = "") -> str:
     )
 
 
-def _state_sql() -> str:
+def state_sql(extra: str = "", *parts: str) -> str:
     return with_parts(
         f"""SELECT t.state, t.day, t.state_name, {", ".join("t." + c for c in LEVEL_COLUMNS)},
         {indicator_columns().replace("day <=", "t.day <=")}, {", ".join(MOBILITY_COLUMNS)},
-        {", ".join("i." + c for c in ICU_COLUMNS)}, hospital_incidence
+        {", ".join("i." + c for c in ICU_COLUMNS)}, hospital_incidence{extra}
         FROM state_totals t JOIN state_frames ON g_key = t.state AND g_day = t.day
         LEFT JOIN mob_state m ON m.state_name = t.state_name AND m.day = t.day
         LEFT JOIN icu_state i ON i.state = t.state AND i.day = t.day
         LEFT JOIN hosp h ON h.level_id = t.state AND h.day = t.day""",
-        "state_totals", "state_frames", "mob_state", "icu_state", "hosp",
+        "state_totals", "state_frames", "mob_state", "icu_state", "hosp", *parts,
     )
 
 
-def _country_sql() -> str:
+def country_sql(extra: str = "", *parts: str) -> str:
     return with_parts(
         f"""SELECT t.day, {", ".join("t." + c for c in LEVEL_COLUMNS)},
         {indicator_columns().replace("day <=", "t.day <=")}, {", ".join(MOBILITY_COLUMNS)},
-        {", ".join("i." + c for c in ICU_COLUMNS)}, hospital_incidence
+        {", ".join("i." + c for c in ICU_COLUMNS)}, hospital_incidence{extra}
         FROM country_totals t JOIN country_frames ON g_day = t.day
         LEFT JOIN mob_country m ON m.day = t.day LEFT JOIN icu_country i ON i.day = t.day
         LEFT JOIN hosp h ON h.level_id = 0 AND h.day = t.day""",
-        "country_totals", "country_frames", "mob_country", "icu_country", "hosp",
+        "country_totals", "country_frames", "mob_country", "icu_country", "hosp", *parts,
     )
 
 
@@ -477,7 +477,7 @@ REGION_OUTPUT = [
     "geo", "day", "state", "name", "kind", "is_subtotal", *LEVEL_COLUMNS, *INDICATOR_COLUMNS, *MOBILITY_COLUMNS,
     *ICU_COLUMNS, *[c + "_parent" for c in ICU_COLUMNS], "hospital_incidence",
 ]
-STAMPED_REGION_SQL = _region_sql(
+STAMPED_REGION_SQL = region_sql(
     """, (SELECT max(day) FROM fact) AS rki_stand, (SELECT max(day) FROM ld) AS rki_impf_stand,
     (SELECT max(day) FROM mob_region) AS rki_mobilitaet_stand, DATE '2001-12-31' AS einwohner_stand"""
 )
@@ -493,15 +493,18 @@ def crosswalk_of(s: Standins) -> DataFrame:
 @register(
     "DOM-01 DOM-02 DOM-03 DOM-04 DOM-05 DOM-06 DOM-07 DOM-08 DOM-09 DOM-10 DOM-11 DOM-12 DOM-13 DOM-16 DOM-18 DOM-19 "
     "DOM-20 DOM-21 FN-01 FN-03 FN-05",
-    _region_sql(),
+    region_sql(),
     store="line_days by_level regions counts span crosswalk",
 )
 def affectedness_region(s: Standins) -> DataFrame:
-    table = region_level(s.counts, crosswalk_of(s), s.mobility_region, s.icu, s.hospital, s.regions, OPTIONS)
-    return table.select(*REGION_OUTPUT)
+    return affectedness_region_table(s).select(*REGION_OUTPUT)
 
 
-@register("DOM-14 DOM-18 DOM-19 DOM-21 FN-02 FN-05", _state_sql(), store="line_days by_level regions span upper")
+def affectedness_region_table(s: Standins) -> DataFrame:
+    return region_level(s.counts, crosswalk_of(s), s.mobility_region, s.icu, s.hospital, s.regions, OPTIONS)
+
+
+@register("DOM-14 DOM-18 DOM-19 DOM-21 FN-02 FN-05", state_sql(), store="line_days by_level regions span upper")
 def affectedness_state(s: Standins) -> DataFrame:
     rolled = s.upper.filter("level = 'state'")
     table = state_table(rolled, s.mobility_state, s.icu, s.hospital, s.regions, OPTIONS)
@@ -511,7 +514,7 @@ def affectedness_state(s: Standins) -> DataFrame:
     )
 
 
-@register("DOM-14 DOM-15 DOM-18 DOM-19 DOM-21 FN-02 FN-05", _country_sql(), store="line_days by_level regions span upper")
+@register("DOM-14 DOM-15 DOM-18 DOM-19 DOM-21 FN-02 FN-05", country_sql(), store="line_days by_level regions span upper")
 def affectedness_country(s: Standins) -> DataFrame:
     rolled = s.upper.filter("level = 'country'").drop("state", "state_name", "level")
     table = country_table(rolled, s.mobility_country, s.icu, s.hospital, s.regions, OPTIONS)
@@ -528,7 +531,7 @@ def _all_levels_sql() -> str:
     shared = [*LEVEL_COLUMNS, *INDICATOR_COLUMNS, *MOBILITY_COLUMNS, *ICU_COLUMNS, "hospital_incidence"]
     parents = ", ".join(f"NULL AS {c}_parent" for c in ICU_COLUMNS)
     columns = ", ".join(shared)
-    tables = [_region_sql(), _state_sql(), _country_sql()]
+    tables = [region_sql(), state_sql(), country_sql()]
     used = [name for name in PARTS if any(f"{name} AS MATERIALIZED (" in t for t in tables)]
     parts = ",\n".join(f"{name} AS MATERIALIZED ({PARTS[name]})" for name in used)
     region, state, country = (t[t.rindex("\nSELECT") :] for t in tables)

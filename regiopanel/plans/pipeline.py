@@ -9,7 +9,14 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from regiopanel.operators.crosswalk import build_crosswalk, crosswalk_report, postal_codes, postal_regions
+from regiopanel.operators.crosswalk import (
+    build_crosswalk,
+    crosswalk_report,
+    one_code_each,
+    postal_codes,
+    postal_regions,
+    region_pairs,
+)
 from regiopanel.operators.doses import unexpected_levels
 from regiopanel.operators.indicators import dose_column
 from regiopanel.operators.ledger import NOT_IN_COUNTRY, amounts, held, ledger
@@ -198,13 +205,10 @@ class Pipeline:
         if options.subtotal:
             whole = self.table("cases").filter(F.col("geo") == city.key).select("geo").limit(1)
             require_empty(whole, "cases under the key of the whole city, whose districts are summed there")
-        crosswalk = build_crosswalk(
-            regions,
-            postal_codes(self.table("postal_nuts")),
-            postal_regions(self.table("postal_keys")),
-            self.table("mobility_region"),
-            (city.lo, city.hi),
-        )
+        codes, postal = postal_codes(self.table("postal_nuts")), postal_regions(self.table("postal_keys"))
+        crosswalk = build_crosswalk(regions, codes, postal, self.table("mobility_region"), (city.lo, city.hi))
+        if options.several_codes == "weighted":
+            crosswalk = one_code_each(crosswalk, region_pairs(regions), codes, postal).select("nuts", "geo")
         report = crosswalk_report(self.store("crosswalk", crosswalk), self.table("mobility_region"))
         for name, df in report.items():
             self.store(name, df)
