@@ -10,7 +10,10 @@ from regiopanel.operators.allocate import allocate_proportional
 from regiopanel.operators.indicators import indicators
 from regiopanel.operators.spine import dense_panel
 from regiopanel.operators.windows import cumulate
+from regiopanel.plans.levels import all_levels, level_feeds, upper_counts
+from regiopanel.plans.panel_queries import crosswalk_of
 from regiopanel.plans.queries import REGISTRY
+from regiopanel.plans.standins import OPTIONS, Standins
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -37,8 +40,9 @@ def test_dense_panel_shuffles_sparse_rows_only(spark, tmp_path):
     assert "IsNotNull(geo), IsNotNull(day)" in plan
 
 
-# The country has one row per day, and one key: its window is one bounded group.
-ONE_KEY = {"rollup_country", "affectedness_country"}
+# The country has one row per day, and one key: its window is one bounded group.  Lines of an export are
+# numbered over the blocks of its files, one row each.
+ONE_KEY = {"rollup_country", "affectedness_country", "export_region_plain", "export_region_extended"}
 
 
 @pytest.mark.parametrize("name", sorted(REGISTRY))
@@ -111,3 +115,34 @@ def test_skewed_join_is_split(spark, tmp_path):
     finally:
         for key, value in before.items():
             spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+def test_stored_region_counts_need_no_exchange(spark):
+    """Windows and attributes of the region table work on the buckets; only feeds are exchanged."""
+    s = Standins(spark, FOLDER, ["counts", "regions", "span", "line_days", "by_level"])
+    windows = indicators(s.counts)
+    assert "Exchange" not in plan_of(windows)
+    plan = plan_of(REGISTRY["affectedness_region"].run(spark, FOLDER))
+    lines = plan.splitlines()
+    last = max(i for i, line in enumerate(lines) if "Window [" in line)
+    scan = next(i for i in range(last, len(lines)) if "FileScan" in lines[i])
+    assert "SelectedBucketsCount" in lines[scan]
+    assert not any("Exchange" in line for line in lines[last:scan])
+
+
+def test_all_levels_read_the_lines_once(spark):
+    s = Standins(spark, FOLDER, "line_days by_level regions counts span crosswalk upper".split())
+    paths = s.line_days.inputFiles()
+    folder = paths[0].rsplit("/", 1)[0].split("/")[-1]
+    feeds = level_feeds(
+        crosswalk_of(s), s.mobility_region, s.mobility_state, s.mobility_country, s.icu, s.hospital, s.regions, OPTIONS
+    )
+    plan = all_levels(s.counts, s.upper, feeds, OPTIONS)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count(folder) <= 2  # hospital cases by age, of states and country; the second is a reused exchange
+
+
+def test_both_upper_levels_come_from_one_pass(spark):
+    s = Standins(spark, FOLDER, ["counts", "regions", "span", "line_days"])
+    plan = plan_of(upper_counts(s.counts, s.doses, s.regions, OPTIONS, days_of=s.span))
+    panel_scans = [line for line in plan.splitlines() if "FileScan" in line and "is_subtotal" in line]
+    assert len(panel_scans) == 1 and plan.count("Expand ") == 1
