@@ -16,6 +16,14 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
+def spare_name(docs: DataFrame, stem: str) -> str:
+    """A column name that ``docs`` doesn't use, in any case of letters."""
+    used = {c.lower() for c in docs.columns}
+    while stem in used:
+        stem += "_"
+    return stem
+
+
 def text_or_empty(column: str) -> Column:
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
 

@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from regiopanel.llm.common import BLANKS, columns, text_or_empty
+from regiopanel.llm.common import BLANKS, columns, spare_name, text_or_empty
 from regiopanel.session import stored
 
 BLOCK_BYTES = 8192
@@ -132,4 +132,5 @@ def keep_first_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     if copies.isEmpty():
         return rows
     # Rows that repeat both id and text: any one of them stays.
-    return rows.withColumn("_text", digest).dropDuplicates([id_col, "_text"]).drop("_text")
+    name = spare_name(docs, "_text")
+    return rows.withColumn(name, digest).dropDuplicates([id_col, name]).drop(name)

@@ -25,7 +25,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from regiopanel.llm.common import let, text_or_empty
+from regiopanel.llm.common import let, spare_name, text_or_empty
 from regiopanel.llm.weak_labels import fit
 from regiopanel.session import stored
 
@@ -315,9 +315,10 @@ def _masked(text: Column, spans: Column) -> Column:
 
 def redact(docs: DataFrame, text_col: str = "text", length_col: str = "n_chars") -> DataFrame:
     """The documents with every accepted span replaced by its kind, all other columns as they were."""
-    found = docs.withColumn("_found", candidates(text_or_empty(f"`{text_col}`")))
-    model = fit_spans(found.select("_found"), "_found")
-    spans = accepted(model, "_found")
+    column = spare_name(docs, "_found")
+    found = docs.withColumn(column, candidates(text_or_empty(f"`{text_col}`")))
+    model = fit_spans(found.select(column), column)
+    spans = accepted(model, column)
     columns = []
     for name in docs.columns:
         value = docs[f"`{name}`"]

@@ -8,7 +8,7 @@ Everything that touches a text is a built-in expression.  Words lie between ASCI
 
 Defined results: a null or empty text has no words and fails the base rules; repeated rows get a row
 each, with equal results; an empty table gives an empty result.  Columns that are made on the way
-are held in one struct under a reserved name, so names of other columns can't clash.
+are held in one struct under a name that no other column has.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from regiopanel.llm.common import BLANKS, let, text_or_empty
+from regiopanel.llm.common import BLANKS, let, spare_name, text_or_empty
 from regiopanel.llm.weak_labels import LabelModel, fit
 from regiopanel.session import stored
 
@@ -158,6 +158,8 @@ def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
 
 def keep_good(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """The documents that the rules keep, all columns as they were."""
-    measured = docs.withColumn("_quality", measures(text_or_empty(f"`{text_col}`")))
-    model = fit_rules(measured.select("_quality"))
-    return measured.filter(kept(model, F.col("_quality"))).drop("_quality")
+    name = spare_name(docs, "_quality")
+    # Stored with the rows: the rules read the measures many times, and each would be computed again.
+    measured = stored(docs.withColumn(name, measures(text_or_empty(f"`{text_col}`"))), "measured")
+    model = fit_rules(measured, name)
+    return measured.filter(kept(model, F.col(name))).drop(name)
