@@ -8,11 +8,13 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from regiopanel.functions import day_text
-from regiopanel.operators.indicators import dose_column
+from regiopanel.functions import day_text, int_div
+from regiopanel.operators.corrections import corrected
+from regiopanel.operators.indicators import dose_column, indicators
 from regiopanel.operators.ledger import LEVELS, NOT_IN_COUNTRY, amounts, held, ledger
 from regiopanel.operators.rejects import left_out
-from regiopanel.operators.spine import day_span, panel_days, present
+from regiopanel.operators.rollup import attach_attributes
+from regiopanel.operators.spine import day_bounds, day_span, dense_panel, panel_days, present
 from regiopanel.operators.vintage import inherit_vintages, stamp_vintages
 from regiopanel.plans.levels import (
     EXTENDED_KEYS,
@@ -26,6 +28,7 @@ from regiopanel.plans.levels import (
     upper_counts,
 )
 from regiopanel.plans.panel_queries import (
+    COUNTS,
     DOSES,
     ICU_COLUMNS,
     INDICATOR_COLUMNS,
@@ -39,7 +42,7 @@ from regiopanel.plans.panel_queries import (
     state_sql,
 )
 from regiopanel.plans.pipeline import PERCENT, Pipeline
-from regiopanel.plans.reference_sql import PARTS, with_parts
+from regiopanel.plans.reference_sql import indicator_columns, with_parts
 from regiopanel.plans.registry import register
 from regiopanel.plans.standins import OPTIONS, Standins
 from regiopanel.session import fresh_path, stored
@@ -120,6 +123,48 @@ def vintage_inherited(s: Standins) -> DataFrame:
     return inherit_vintages(daily, vintages, ["rki_stand", "rki_impf_stand"])
 
 
+# --- corrections between snapshots -------------------------------------------------------
+
+# The older snapshot lacks some reports of one state, holds some of another twice, and ends earlier.
+OLDER_END, NEWER_END = "2001-06-30", "2001-08-01"
+
+SNAPSHOTS = f"""older AS (SELECT f.* FROM fact f, (SELECT unnest([1, 2]) AS k)
+  WHERE (k = 1 AND NOT (geo // 1000 = 3 AND day BETWEEN DATE '1998-06-01' AND DATE '1998-06-20')
+    OR k = 2 AND geo // 1000 = 4 AND day BETWEEN DATE '1997-03-01' AND DATE '1997-03-02') AND day <= DATE '{OLDER_END}'),
+olds AS (SELECT geo, day, count(*) AS n, sum(deaths) AS deaths FROM older GROUP BY geo, day),
+touched AS (SELECT geo, min(day) - 1 AS first_day FROM (
+  SELECT geo, day FROM counted LEFT JOIN olds o USING (geo, day) WHERE o.n IS DISTINCT FROM cases OR o.deaths IS DISTINCT FROM counted.deaths
+  UNION ALL SELECT geo, DATE '{OLDER_END}' + 1 FROM counted) GROUP BY geo)"""
+
+
+def _snapshot_sql() -> str:
+    sql = with_parts(
+        f"""SELECT geo, day, cases, deaths, population, cases_cum, deaths_cum, {indicator_columns(())},
+        day >= (SELECT first_day FROM touched WHERE touched.geo = peopled_totals.geo) AS is_recomputed
+        FROM peopled_totals JOIN peopled_frames ON g_key = geo AND g_day = day""",
+        "peopled_totals",
+        "peopled_frames",
+    )
+    cut = sql.rindex("\nSELECT")
+    return f"{sql[:cut]},\n{SNAPSHOTS}{sql[cut:]}"
+
+
+@register("DOM-01 DOM-06 DOM-07 DOM-08 DOM-09 DOM-10 WIN-02 WIN-03 WIN-04 JOIN-12 SET-05", _snapshot_sql(), store="regions")
+def snapshot_rerun(s: Standins) -> DataFrame:
+    """The table of a corrected snapshot, made of the one before and the difference between both."""
+    state, on = int_div("geo", 1000), F.col("day")
+    newer = stored(s.cases, "newer")
+    late = (state == 3) & on.between("1998-06-01", "1998-06-20")
+    twice = newer.filter((state == 4) & on.between("1997-03-01", "1997-03-02"))
+    older = stored(newer.filter(~late).unionByName(twice).filter(on <= F.lit(OLDER_END).cast("date")), "older")
+    start = day_bounds(newer)[0]
+    panel = attach_attributes(dense_panel(older, COUNTS, start=start, end=OLDER_END), s.inhabitants)
+    table = stored(indicators(panel, dose_levels=()), "table")
+    found = corrected(table, older, newer, s.inhabitants, COUNTS, start, NEWER_END)
+    names = ["incidence", "r4", "r7", "infection_rate", "lethality_rate"]
+    return found.select("geo", "day", *COUNTS, "population", "cases_cum", "deaths_cum", *names, "is_recomputed")
+
+
 # --- exports -----------------------------------------------------------------------------
 
 
