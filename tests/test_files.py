@@ -164,3 +164,16 @@ def test_a_bucketed_table_is_read_without_exchange(spark, tmp_path):
     sums = again.select("geo", F.sum("n").over(Window.partitionBy("geo").orderBy("n")).alias("total"))
     assert "Exchange" not in sums._jdf.queryExecution().executedPlan().toString()
     assert rows(again.groupBy("geo").count().agg(F.count("*"), F.sum("count"))) == [(37, 4000)]
+
+
+def test_zip_members_with_odd_fields(spark, tmp_path):
+    with zipfile.ZipFile(tmp_path / "a.zip", "w") as archive:
+        archive.writestr("codes.csv", "CODE;NUTS3;REST\r\n1;'two\nlines; ''quoted''';\r\n\r\n2;'';x\r\n3;short")
+        archive.writestr("more_codes.csv", "REST;NUTS3;CODE\nr;n;4\n")
+    out = read_zip_member(spark, str(tmp_path / "a.zip"), "*codes.csv", ["nuts3", "code", "rest"], ";", "'")
+    assert rows(out, "code", "nuts3", "rest") == [
+        ("1", "two\nlines; 'quoted'", None), ("2", None, "x"), ("3", "short", None), ("4", "n", "r"),
+    ]
+    with pytest.raises(ValueError, match="absent"):
+        read_zip_member(spark, str(tmp_path / "a.zip"), "codes.csv", ["absent"], ";", "'")
+    assert read_zip_member(spark, str(tmp_path / "a.zip"), "none.csv", ["nuts3"], ";", "'").count() == 0
