@@ -45,7 +45,11 @@ def test_dense_panel_shuffles_sparse_rows_only(spark, tmp_path):
 ONE_KEY = {"rollup_country", "affectedness_country", "export_region_plain", "export_region_extended"}
 
 
-@pytest.mark.parametrize("name", sorted(REGISTRY))
+# Their last plan only scans a stored table; the stages before it are those of staged_run_region.
+SAME_STAGES = {"staged_run_state", "staged_run_country"}
+
+
+@pytest.mark.parametrize("name", sorted(set(REGISTRY) - SAME_STAGES))
 def test_no_cartesian_products_or_global_windows(spark, name):
     plan = plan_of(REGISTRY[name].run(spark, FOLDER))
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
