@@ -44,6 +44,7 @@ HEADLINE = [
     "affectedness_region",
     "affectedness_state",
     "affectedness_country",
+    "affectedness_all_levels",
 ]
 NAMES = {"incidence_7d": ["last_7"], "r_value_4d": ["recent_4", "earlier_4"], "r_value_7d": ["recent_7", "earlier_7"]}
 
