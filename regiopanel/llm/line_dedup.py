@@ -1,18 +1,25 @@
 """Line dedup by a segment-partition edit join.
 
-Lines within ``DISTANCE`` edits of each other are copies.  A line is cut into one segment more than
-edits are allowed, so a copy holds at least one of them unchanged, near its place.  The segments
-are indexed by the line's length and their number; each line probes the index for its
-own and shorter lengths, at the places that a shift by the remaining edits allows.  Pairs that meet
-are compared by a band of bit vectors: one row of bits per number of edits, moved along a diagonal.
-
-Everything is a built-in expression.  Lines travel as two 64-bit hashes; only text of pairs that meet is read again.
-
-Defined results: lines without a word are left out; lines under ``MIN_CHARS`` characters are copies
-only if equal; blanks at the ends don't count.  A class is what links reach, its first line by id and
-number stays; a null text has no lines, an empty table gives an empty result, repeated rows are
-copies of which the first in an arbitrary but fixed order stays.  Only the id and the text are
-read, so other columns can't clash.
+Lines within a few edits of each other are copies: one edit for every ``CHARS_AN_EDIT`` characters of the
+shorter line, ``DISTANCE`` at most.  A line is cut into one segment more than edits are allowed, so a copy
+holds at least one of them unchanged, near its place.  The segments are indexed by the line's length and
+their number; each line probes the index for its own and shorter lengths, at the places that a shift by the
+remaining edits allows.
+
+Lines of one template share a segment without being copies.  Where more than ``SMALL`` lines meet at a
+segment, it is taken out of them, with whatever all of them begin and end with, and what is left is cut into
+segments again: two lines that share a segment have all their edits in the rest.  So a hot segment is split
+until few lines meet or the rest is shorter than the number of segments.  Then pairs are made: their number
+follows that of the lines, not its square.  Groups of the same lines and rests go on once.
+
+Pairs are compared by a band of bit vectors, which alone decide; before, counts of letters that can't be of
+copies are left out.  Everything is a built-in expression.  Keys travel first, without text; texts follow
+only of lines that meet others, told by a bitmap of at most ``SIEVE_BITS`` bits (a full one lets all pass).
+
+Defined results: lines without a word are left out; blanks at the ends don't count; lines too short for an
+edit are copies only if equal.  A class is what links reach, its first line by id and number stays; a null
+text has no lines, an empty table gives an empty result, repeated rows are copies of which the first in an
+arbitrary but fixed order stays.  Only the id and the text are read, so other columns can't clash.
 """
 
 from __future__ import annotations
@@ -27,10 +34,18 @@ from regiopanel.llm.components import components
 from regiopanel.session import stored
 
 DISTANCE = 2
-MIN_CHARS = 24
-# Letters whose counts' parities a pair is held against before its text is read (fixed values).
-LETTERS = "etaonirshldcumpg"
+CHARS_AN_EDIT = 12
+# Lines that meet at one segment and are compared with each other.
+SMALL = 24
+# Characters whose counts' parities a pair is held against before its text is read (fixed values).
+LETTERS = "etaonirshldcumpgfwybvk0123456789.,-"
 BLANKS_IN_LINE = " \t\x0b\x0c\r"
+SIEVE_BITS = 1 << 26
+BITMAP_BITS = 1 << 15
+# Documents looked at for segments that a good part of all lines hold, and how many slices such a key gets.
+SAMPLE_DOCUMENTS = 20_000
+HOT_SHARE = 500
+SLICES = 64
 
 
 def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -44,12 +59,17 @@ def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 def _parities(line: Column, length: Column) -> Column:
     """One bit for each letter; an edit changes at most two of them."""
     bits = [
-        F.shiftleft((length - F.length(F.replace(line, F.lit(c), F.lit("")))) % 2, i)
+        F.shiftleft(((length - F.length(F.replace(line, F.lit(c), F.lit("")))) % 2).cast("long"), i)
         for i, c in enumerate(LETTERS)
     ]
     return reduce(lambda a, b: a.bitwiseOR(b), bits)
 
 
+def _edits(length: Column, distance: int) -> Column:
+    """Edits that make a copy of a line of so many characters."""
+    return F.least(F.lit(distance), F.floor(length / CHARS_AN_EDIT).cast("int"))
+
+
 def _segment(length: Column, i: int, parts: int) -> tuple[Column, Column]:
     """Start, from 1, and length of segment i, from 0, of a line of a length; the last ones are longer."""
     short = F.floor(length / parts).cast("int")
@@ -58,37 +78,32 @@ def _segment(length: Column, i: int, parts: int) -> tuple[Column, Column]:
     return start, short + F.when(F.lit(i) >= plain, 1).otherwise(0)
 
 
-def _index_keys(line: Column, length: Column, distance: int) -> list[Column]:
-    parts = distance + 1
-    keys = []
-    for i in range(parts):
-        start, size = _segment(length, i, parts)
-        keys.append(F.xxhash64(length, F.lit(i), F.substring(line, start, size)))
-    return keys
-
+def _places(whole: Column, distance: int) -> list[tuple[bool, int, Column, Column, Column, Column]]:
+    """(of the index, segment, length looked for, start, size, whether it counts) of a line's keys.
 
-def _probe_keys(line: Column, whole: Column, distance: int) -> list[tuple[int, Column]]:
-    """(difference in length, key); a place is left out if edits before or after it would exceed the distance."""
-    parts, keys = distance + 1, []
+    A place is left out if edits before or after it would exceed the distance.  A line shorter than the number of
+    segments has only its first one, which is empty: all such lines meet.
+    """
+    parts, places = distance + 1, []
     for shorter in range(distance + 1):
         length = whole - shorter
         for i in range(parts):
             start, size = _segment(length, i, parts)
             left, right = i, distance - i
             for shift in range(max(-left, shorter - right), min(left, shorter + right) + 1):
-                if shorter or shift:  # else it is a key of the index
-                    at = start + shift
-                    fits = (at >= 1) & (at + size - 1 <= whole)
-                    keys.append((shorter, F.when(fits, F.xxhash64(length, F.lit(i), F.substring(line, at, size)))))
-    return keys
+                at = start + shift
+                counts = (length >= (parts if i else 0)) & (at >= 1) & (at + size - 1 <= whole)
+                places.append((not shorter and not shift, i, length, at, size, counts))
+    return places
 
 
-def within(a: Column, b: Column, distance: int) -> Column:
-    """Whether two arrays of characters are within so many edits.
+def within(a: Column, b: Column, distance: int, edits: Column | None = None) -> Column:
+    """Whether two arrays of characters are within so many edits, or within ``edits``, at most ``distance``, of them.
 
     ``rows[d]`` has bit k set where the characters of ``a`` so far and k - distance more of ``b`` are d edits apart
     or fewer; the band is as wide as the edits allow.
     """
+    edits = F.lit(distance) if edits is None else edits
     band = 2 * distance + 1
     mask = (1 << band) - 1
     first = F.array(*[F.lit(sum(1 << (distance + j) for j in range(d + 1))).cast("long") for d in range(distance + 1)])
@@ -111,42 +126,149 @@ def within(a: Column, b: Column, distance: int) -> Column:
 
     rows = F.aggregate(F.sequence(F.lit(0), F.size(a) - 1), first, step)
     gap = F.size(b) - F.size(a)
-    reached = F.get(rows, distance).bitwiseAND(F.element_at(F.array(*[F.lit(1 << k).cast("long") for k in range(band)]), F.least(F.greatest(gap + distance, F.lit(0)), F.lit(band - 1)) + 1))
-    return (F.abs(gap) <= distance) & (reached != 0)
+    reached = F.get(rows, edits).bitwiseAND(F.element_at(F.array(*[F.lit(1 << k).cast("long") for k in range(band)]), F.least(F.greatest(gap + distance, F.lit(0)), F.lit(band - 1)) + 1))
+    return (F.abs(gap) <= edits) & (reached != 0)
 
 
 def _characters(line: str) -> Column:
     return F.split(line, "")
 
 
-def similar_lines(lines: DataFrame, distance: int = DISTANCE) -> DataFrame:
-    """Links (a, b) between hashes of different lines within the distance."""
-    parts = distance + 1
-    long = lines.select("h", "line", F.length("line").alias("n")).filter(F.col("n") >= max(MIN_CHARS, parts))
-    long = long.withColumn("bits", _parities(F.col("line"), F.col("n")))
-    # One of each group of equal lines; most copies are dropped before the shuffle.
-    long = long.groupBy("h").agg(F.first("line").alias("line"), F.first("n").alias("n"), F.first("bits").alias("bits"))
+def _keys(lines: DataFrame, distance: int) -> tuple[DataFrame, list[Column]]:
+    """Lines long enough for an edit as (h, k0, k1, ...), and the keys as structs (key, whether of the index)."""
     line, n = F.col("line"), F.col("n")
-    index = long.select(F.explode(F.array(*_index_keys(line, n, distance))).alias("key"), "h", "bits")
-    places = [F.struct(F.lit(d > 0).alias("longer"), k.alias("key")) for d, k in _probe_keys(line, n, distance)]
-    probe = long.select(F.explode(F.array(*places)).alias("at"), "h", "bits").select("at.*", "h", "bits")
-    probe = probe.filter("key is not null")
-    indexed = index.toDF("key", "a", "bits_a")
+    places = _places(n, distance)
+    keys = [
+        F.when(counts, F.xxhash64(length, F.lit(i), F.substring(line, at, size))).alias(f"k{j}")
+        for j, (_, i, length, at, size, counts) in enumerate(places)
+    ]
+    long = lines.select("h", "line", F.length("line").alias("n")).filter(_edits(n, distance) > 0)
+    told = [F.struct(F.col(f"k{j}").alias("key"), F.lit(p[0]).alias("indexed")) for j, p in enumerate(places)]
+    return long.select("h", *keys), told
+
+
+def _hot_keys(docs: DataFrame, id_col: str, text_col: str, distance: int) -> DataFrame:
+    """Keys that a good part of a bounded sample's lines hold.
+
+    They only get more slices and skip the count; what is a copy doesn't depend on them.  At most HOT_SHARE times the keys of a line.
+    """
+    share = min(1.0, SAMPLE_DOCUMENTS / max(1, docs.count()))
+    lines, told = _keys(_lines(docs.sample(share, seed=1), id_col, text_col).dropDuplicates(["h"]), distance)
+    lines = stored(lines, "sampled")
+    least = max(SMALL, lines.count() // HOT_SHARE)
+    keys = lines.select(F.explode(F.array(*told)).alias("at")).select("at.key").filter("key is not null")
+    return stored(keys.groupBy("key").agg(F.count("*").alias("lines")).filter(F.col("lines") > least).select("key"), "hot")
+
+
+def _meeting(lines: DataFrame, hot: DataFrame, distance: int) -> DataFrame:
+    """Hashes of the lines that share a key with another line, found without text."""
+    keys, told = _keys(lines, distance)
+    # One of each group of equal lines; most copies are dropped before the shuffle.
+    keys = keys.groupBy("h").agg(*[F.first(c).alias(c) for c in keys.columns[1:]])
+    rows = keys.select("h", F.explode(F.array(*told)).alias("at")).select("h", "at.*").filter("key is not null")
+    flags = F.broadcast(hot.select(F.col("key").alias("hot")))
+    rows = rows.join(flags, F.col("key") == F.col("hot"), "left")
+    slice_ = F.when(F.col("hot").isNotNull(), F.pmod("h", F.lit(SLICES)) + 1).otherwise(0).cast("int")
+    rows = rows.select("h", "key", "indexed", slice_.alias("slice")).repartition("key", "slice")
+    sizes = rows.groupBy("key", "slice").agg(F.min("h").alias("low"), F.max("h").alias("high"), F.max("indexed").alias("any"))
+    sizes = sizes.filter("slice > 0 or (low != high and any)").select("key", "slice")
+    return stored(rows.join(sizes, ["key", "slice"], "left_semi").select("h").distinct(), "meeting")
+
+
+def _sifted(lines: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Lines whose hash may be wanted: a bitmap of bounded size, broadcast, lets all wanted ones pass."""
+
+    def bit(hashed: Column) -> Column:
+        return F.pmod(hashed, F.lit(SIEVE_BITS))
+
+    bits = wanted.select(bit(F.col("h")).alias("bit")).distinct()
+    bucket, position = F.floor(F.col("bit") / BITMAP_BITS), F.col("bit") % BITMAP_BITS
+    maps = bits.groupBy(bucket.alias("bucket")).agg(F.bitmap_construct_agg(position).alias("bitmap"))
+    found = lines.withColumn("bit", bit(F.col("h"))).join(F.broadcast(stored(maps, "sieve")), bucket == F.col("bucket"))
+    byte = F.conv(F.hex(F.substring(F.col("bitmap"), (position / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    mask = F.element_at(F.array(*[F.lit(1 << k) for k in range(8)]), (position % 8).cast("int") + 1)
+    return found.filter(byte.bitwiseAND(mask) != 0).select(*lines.columns)
+
+
+def _first_difference(low: Column, high: Column) -> Column:
+    """Number of characters that two texts have in common at their beginning."""
+    shorter = F.least(F.length(low), F.length(high))
+    differ = F.zip_with(F.split(low, ""), F.split(high, ""), lambda x, y: F.coalesce(x != y, F.lit(True)))
+    place = F.array_position(differ, True).cast("int")
+    return F.when(place > 0, F.least(place - 1, shorter)).otherwise(shorter)
+
+
+def _stripped(members: DataFrame) -> DataFrame:
+    """Rests (group, h, bits, rest) without what all of their group begin and end with."""
+    back = F.reverse("rest")
+    ends = members.groupBy("group").agg(
+        F.min("rest").alias("low"), F.max("rest").alias("high"), F.min(back).alias("low_back"),
+        F.max(back).alias("high_back"), F.min(F.length("rest")).alias("least"),
+    )
+    ends = ends.select("group", "least", _first_difference(F.col("low"), F.col("high")).alias("front"), _first_difference(F.col("low_back"), F.col("high_back")).alias("end"))
+    ends = ends.withColumn("end", F.least("end", F.col("least") - F.col("front")))
+    left = F.substring(F.col("rest"), F.col("front") + 1, F.length("rest") - F.col("front") - F.col("end"))
+    return members.join(ends, "group").select("group", "h", "bits", left.alias("rest"))
+
+
+def _round(state: DataFrame, distance: int) -> tuple[DataFrame, DataFrame]:
+    """Pairs (a, b) that meet in groups of few lines, and the rests of those that meet in larger ones."""
+    parts = distance + 1
+    state = state.withColumn("id", F.xxhash64("group", "h", "rest")).withColumn("n", F.length("rest"))
+    places = [
+        F.when(
+            counts,
+            F.struct(
+                F.xxhash64("group", length, F.lit(i), F.substring(F.col("rest"), at, size)).alias("key"),
+                F.lit(of_index).alias("indexed"), (length < parts).alias("last"), at.alias("at"), size.alias("size"),
+            ),
+        )
+        for of_index, i, length, at, size, counts in _places(F.col("n"), distance)
+    ]
+    rows = state.select("id", "h", "bits", F.explode(F.array(*places)).alias("x")).filter("x is not null")
+    rows = stored(rows.select("id", "h", "bits", "x.*"), "places")
+    sizes = rows.groupBy("key").agg(
+        F.count("*").alias("members"), F.max("indexed").alias("any"), F.min("h").alias("low"), F.max("h").alias("high")
+    )
+    sizes = sizes.filter("low != high and any").select("key", "members")
+    met = stored(rows.join(sizes, "key"), "met")
+    few = met.filter(F.col("last") | (F.col("members") <= SMALL)).select("key", "indexed", "h", "bits").distinct()
+    a = few.filter("indexed").select("key", F.col("h").alias("a"), F.col("bits").alias("bits_a"))
     near = F.bit_count(F.col("bits").bitwiseXOR(F.col("bits_a"))) <= 2 * distance
-    once = F.col("longer") | (F.col("h") > F.col("a"))
-    met = probe.join(indexed, "key").filter((F.col("h") != F.col("a")) & once & near).select("a", F.col("h").alias("b"))
-    same = index.join(indexed, "key").filter((F.col("h") > F.col("a")) & near).select("a", F.col("h").alias("b"))
-    met = met.unionByName(same)
-    pairs = stored(met.distinct(), "pairs")
-    wanted = pairs.select(F.col("a").alias("h")).unionByName(pairs.select(F.col("b").alias("h"))).distinct()
-    texts = lines.select("h", "line").join(wanted, "h", "left_semi").groupBy("h").agg(F.first("line").alias("line"))
-    texts = stored(texts, "compared")
+    pairs = few.join(a, "key").filter((F.col("h") != F.col("a")) & near)
+    pairs = pairs.select(F.least("a", "h").alias("a"), F.greatest("a", "h").alias("b")).distinct()
+    many = met.filter(~F.col("last") & (F.col("members") > SMALL)).select("key", "id", "at", "size")
+    rest = F.concat(F.expr("substring(rest, 1, at - 1)"), F.expr("substring(rest, at + size)"))
+    many = many.join(state.drop("n"), "id").select(F.col("key").alias("group"), "h", "bits", rest.alias("rest"))
+    many = stored(_stripped(many.distinct()), "rests")
+    # Of groups of the same lines and rests only one goes on.
+    told = many.groupBy("group").agg(
+        F.count("*").alias("c"), F.bit_xor(F.xxhash64("h", "rest")).alias("x"), F.bit_xor(F.xxhash64("rest", "h")).alias("y")
+    )
+    one = told.groupBy("c", "x", "y").agg(F.min("group").alias("group")).select("group")
+    return stored(pairs, "pairs"), stored(many.join(one, "group", "left_semi").distinct(), "rests")
+
+
+def similar_lines(docs: DataFrame, id_col: str, text_col: str, distance: int = DISTANCE) -> DataFrame:
+    """Links (a, b) between hashes of different lines within the distance that their length allows."""
+    lines = _lines(docs, id_col, text_col)
+    wanted = _meeting(lines, _hot_keys(docs, id_col, text_col, distance), distance)
+    texts = _sifted(lines.select("h", "line"), wanted).join(wanted, "h", "left_semi")
+    texts = texts.groupBy("h").agg(F.first("line").alias("line"))
+    texts = stored(texts.withColumn("bits", _parities(F.col("line"), F.length("line"))), "compared")
+    state = texts.select(F.lit(0).cast("long").alias("group"), "h", "bits", F.col("line").alias("rest"))
+    rounds = []
+    while not rounds or not state.isEmpty():
+        pairs, state = _round(state, distance)
+        rounds.append(pairs)
+    pairs = reduce(DataFrame.unionByName, rounds).distinct()
     # A few bytes a pair, but much work: spread over all tasks.
-    both = pairs.repartition("a", "b").join(texts.toDF("a", "line_a"), "a").join(texts.toDF("b", "line_b"), "b")
-    # Spark's own bounded distance drops what is far apart, the bit vectors decide on the rest.
-    both = both.filter(F.levenshtein("line_a", "line_b", distance) >= 0)
-    both = both.select("a", "b", _characters("line_a").alias("x"), _characters("line_b").alias("y"))
-    return both.filter(let(F.col("x"), lambda x: let(F.col("y"), lambda y: within(x, y, distance)))).select("a", "b")
+    line = texts.select("h", "line")
+    both = pairs.repartition("a", "b").join(line.toDF("a", "line_a"), "a").join(line.toDF("b", "line_b"), "b")
+    both = both.withColumn("edits", _edits(F.least(F.length("line_a"), F.length("line_b")), distance))
+    both = both.select("a", "b", "edits", _characters("line_a").alias("x"), _characters("line_b").alias("y"))
+    close = let(F.col("x"), lambda x: let(F.col("y"), lambda y: within(x, y, distance, F.col("edits"))))
+    return both.filter(close).select("a", "b")
 
 
 def line_classes(
@@ -154,22 +276,24 @@ def line_classes(
 ) -> DataFrame:
     """One row per line with a word: doc_id, line_no, keep_id, keep_line (of the line that stays), copies, kept."""
     lines = _lines(docs, id_col, text_col)
-    found = stored(components(similar_lines(lines, distance)), "classes")
+    found = stored(components(similar_lines(docs, id_col, text_col, distance)), "classes")
     places = stored(lines.select("doc_id", "line_no", "h", "g", F.monotonically_increasing_id().alias("row")), "lines")
     rank = F.struct(F.col("doc_id").isNull(), "doc_id", "line_no", "row")
     # Lines in no link: equal ones by both hashes. Others: by component, summed before rows meet.
     equal = places.groupBy("h", "g").agg(F.min(rank).alias("first"), F.count("*").alias("copies"))
     joined = equal.join(found, equal["h"] == found["node"], "left").drop("node")
-    joined = stored(joined, "equal")
+    # A line that is alone stays without a join.
+    joined = stored(joined.filter("component is not null or copies > 1"), "equal")
     linked = joined.filter("component is not null")
     best = linked.groupBy("component").agg(F.min("first").alias("first"), F.sum("copies").alias("copies"))
     linked = linked.select("h", "g", "component").join(best, "component").select("h", "g", "first", "copies")
     chosen = joined.filter("component is null").select("h", "g", "first", "copies").unionByName(linked)
-    return places.join(chosen, ["h", "g"]).select(
+    alone = F.col("first").isNull()
+    return places.join(chosen, ["h", "g"], "left").select(
         "doc_id",
         "line_no",
-        F.col("first.doc_id").alias("keep_id"),
-        F.col("first.line_no").alias("keep_line"),
-        "copies",
-        (F.col("row") == F.col("first.row")).alias("kept"),
+        F.when(alone, F.col("doc_id")).otherwise(F.col("first.doc_id")).alias("keep_id"),
+        F.when(alone, F.col("line_no")).otherwise(F.col("first.line_no")).alias("keep_line"),
+        F.coalesce("copies", F.lit(1).cast("long")).alias("copies"),
+        (alone | (F.col("row") == F.col("first.row"))).alias("kept"),
     )
