@@ -253,7 +253,8 @@ def similar_lines(docs: DataFrame, id_col: str, text_col: str, distance: int = D
     """Links (a, b) between hashes of different lines within the distance that their length allows."""
     lines = _lines(docs, id_col, text_col)
     wanted = _meeting(lines, _hot_keys(docs, id_col, text_col, distance), distance)
-    texts = _sifted(lines.select("h", "line"), wanted).join(wanted, "h", "left_semi")
+    # Not a semi-join: Spark would do that before the bitmap, and shuffle all texts.
+    texts = _sifted(lines.select("h", "line"), wanted).join(wanted, "h")
     texts = texts.groupBy("h").agg(F.first("line").alias("line"))
     texts = stored(texts.withColumn("bits", _parities(F.col("line"), F.length("line"))), "compared")
     state = texts.select(F.lit(0).cast("long").alias("group"), "h", "bits", F.col("line").alias("rest"))
