@@ -12,8 +12,8 @@ segments again: two lines that share a segment have all their edits in the rest.
 until few lines meet or the rest is shorter than the number of segments.  Then pairs are made: their number
 follows that of the lines, not its square.  Groups of the same lines and rests go on once.
 
-Pairs are compared by a band of bit vectors, which alone decide; before, counts of letters that can't be of
-copies are left out.  Everything is a built-in expression.  Keys travel first, without text; texts follow
+Pairs are compared by a band of bit vectors, which alone decide; before, pairs whose counts of letters can't be
+of copies are left out.  Everything is a built-in expression.  Keys travel first, without text; texts follow
 only of lines that meet others, told by a bitmap of at most ``SIEVE_BITS`` bits (a full one lets all pass).
 
 Defined results: lines without a word are left out; blanks at the ends don't count; lines too short for an
@@ -35,9 +35,9 @@ from regiopanel.session import stored
 
 DISTANCE = 2
 CHARS_AN_EDIT = 12
-# Lines that meet at one segment and are compared with each other.
-SMALL = 24
-# Characters whose counts' parities a pair is held against before its text is read (fixed values).
+# Keys of lines that meet at one segment and are compared with each other, by parities first: a few million instructions a group.
+SMALL = 256
+# Characters whose counts a pair is held against, their parities before its text is read (fixed values).
 LETTERS = "etaonirshldcumpgfwybvk0123456789.,-"
 BLANKS_IN_LINE = " \t\x0b\x0c\r"
 SIEVE_BITS = 1 << 26
@@ -56,12 +56,14 @@ def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return lines.select("*", F.xxhash64("line").alias("h"), F.xxhash64(F.lit(1), "line").alias("g"))
 
 
-def _parities(line: Column, length: Column) -> Column:
-    """One bit for each letter; an edit changes at most two of them."""
-    bits = [
-        F.shiftleft(((length - F.length(F.replace(line, F.lit(c), F.lit("")))) % 2).cast("long"), i)
-        for i, c in enumerate(LETTERS)
-    ]
+def _counts(line: Column) -> Column:
+    """How often a line holds each letter; an edit changes at most two of the counts, by one."""
+    whole = F.length(line)
+    return F.array(*[whole - F.length(F.replace(line, F.lit(c), F.lit(""))) for c in LETTERS])
+
+
+def _parities(counts: Column) -> Column:
+    bits = [F.shiftleft((F.get(counts, F.lit(i)) % 2).cast("long"), i) for i in range(len(LETTERS))]
     return reduce(lambda a, b: a.bitwiseOR(b), bits)
 
 
@@ -172,7 +174,9 @@ def _meeting(lines: DataFrame, hot: DataFrame, distance: int) -> DataFrame:
     rows = rows.select("h", "key", "indexed", slice_.alias("slice")).repartition("key", "slice")
     sizes = rows.groupBy("key", "slice").agg(F.min("h").alias("low"), F.max("h").alias("high"), F.max("indexed").alias("any"))
     sizes = sizes.filter("slice > 0 or (low != high and any)").select("key", "slice")
-    return stored(rows.join(sizes, ["key", "slice"], "left_semi").select("h").distinct(), "meeting")
+    # Few keys are left on the right; a hash of them spares sorting all rows.
+    met = rows.join(sizes.hint("shuffle_hash"), ["key", "slice"], "left_semi")
+    return stored(met.select("h").distinct(), "meeting")
 
 
 def _sifted(lines: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -256,17 +260,20 @@ def similar_lines(docs: DataFrame, id_col: str, text_col: str, distance: int = D
     # Not a semi-join: Spark would do that before the bitmap, and shuffle all texts.
     texts = _sifted(lines.select("h", "line"), wanted).join(wanted, "h")
     texts = texts.groupBy("h").agg(F.first("line").alias("line"))
-    texts = stored(texts.withColumn("bits", _parities(F.col("line"), F.length("line"))), "compared")
-    state = texts.select(F.lit(0).cast("long").alias("group"), "h", "bits", F.col("line").alias("rest"))
+    texts = stored(texts.withColumn("counts", _counts(F.col("line"))), "compared")
+    first = F.lit(0).cast("long").alias("group")
+    state = texts.select(first, "h", _parities(F.col("counts")).alias("bits"), F.col("line").alias("rest"))
     rounds = []
     while not rounds or not state.isEmpty():
         pairs, state = _round(state, distance)
         rounds.append(pairs)
     pairs = reduce(DataFrame.unionByName, rounds).distinct()
     # A few bytes a pair, but much work: spread over all tasks.
-    line = texts.select("h", "line")
-    both = pairs.repartition("a", "b").join(line.toDF("a", "line_a"), "a").join(line.toDF("b", "line_b"), "b")
+    line_a, line_b = texts.toDF("a", "line_a", "counts_a"), texts.toDF("b", "line_b", "counts_b")
+    both = pairs.repartition("a", "b").join(line_a, "a").join(line_b, "b")
     both = both.withColumn("edits", _edits(F.least(F.length("line_a"), F.length("line_b")), distance))
+    apart = F.zip_with("counts_a", "counts_b", lambda x, y: F.abs(x - y))
+    both = both.filter(F.aggregate(apart, F.lit(0), lambda x, y: x + y) <= 2 * F.col("edits"))
     both = both.select("a", "b", "edits", _characters("line_a").alias("x"), _characters("line_b").alias("y"))
     close = let(F.col("x"), lambda x: let(F.col("y"), lambda y: within(x, y, distance, F.col("edits"))))
     return both.filter(close).select("a", "b")

@@ -76,7 +76,7 @@ def pairs_of_template(spark, count):
     number = F.lpad(F.pmod(F.xxhash64("id"), F.lit(10**8)).cast("string"), 8, "0")
     line = F.concat(F.lit("Order "), number, F.lit(" was shipped to the port of Rotterdam by the usual way"))
     lines = spark.range(count).select(F.xxhash64(line).alias("h"), line.alias("line"))
-    bits = line_dedup._parities(F.col("line"), F.length("line"))
+    bits = line_dedup._parities(line_dedup._counts(F.col("line")))
     state = lines.select(F.lit(0).cast("long").alias("group"), "h", bits.alias("bits"), F.col("line").alias("rest"))
     state = line_dedup.stored(state, "state")
     made = 0
