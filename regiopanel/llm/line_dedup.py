@@ -35,7 +35,7 @@ from regiopanel.session import stored
 
 DISTANCE = 2
 CHARS_AN_EDIT = 12
-# Keys of lines that meet at one segment and are compared with each other, by parities first: a few million instructions a group.
+# Keys of lines that meet at one segment and are compared with each other, by parities first: at most SMALL squared bit operations.
 SMALL = 256
 # Characters whose counts a pair is held against, their parities before its text is read (fixed values).
 LETTERS = "etaonirshldcumpgfwybvk0123456789.,-"
@@ -239,7 +239,9 @@ def _round(state: DataFrame, distance: int) -> tuple[DataFrame, DataFrame]:
     few = met.filter(F.col("last") | (F.col("members") <= SMALL)).select("key", "indexed", "h", "bits").distinct()
     a = few.filter("indexed").select("key", F.col("h").alias("a"), F.col("bits").alias("bits_a"))
     near = F.bit_count(F.col("bits").bitwiseXOR(F.col("bits_a"))) <= 2 * distance
-    pairs = few.join(a, "key").filter((F.col("h") != F.col("a")) & near)
+    # Two keys of the index meet once, not from both sides.
+    once = (F.col("h") > F.col("a")) | (~F.col("indexed") & (F.col("h") != F.col("a")))
+    pairs = few.join(a, "key").filter(once & near)
     pairs = pairs.select(F.least("a", "h").alias("a"), F.greatest("a", "h").alias("b")).distinct()
     many = met.filter(~F.col("last") & (F.col("members") > SMALL)).select("key", "id", "at", "size")
     rest = F.concat(F.expr("substring(rest, 1, at - 1)"), F.expr("substring(rest, at + size)"))
