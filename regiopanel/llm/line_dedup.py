@@ -14,7 +14,7 @@ follows that of the lines, not its square.  Groups of the same lines and rests g
 
 Pairs are compared by a band of bit vectors, which alone decide; before, pairs whose counts of letters can't be
 of copies are left out.  Everything is a built-in expression.  Keys travel first, without text; texts follow
-only of lines that meet others, told by a bitmap of at most ``SIEVE_BITS`` bits (a full one lets all pass).
+only of lines that meet others, told by a bitmap of bounded size (a full one lets all pass).
 
 Defined results: lines without a word are left out; blanks at the ends don't count; lines too short for an
 edit are copies only if equal.  A class is what links reach, its first line by id and number stays; a null
@@ -29,7 +29,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from regiopanel.llm.common import let
+from regiopanel.llm.common import let, sifted
 from regiopanel.llm.components import components
 from regiopanel.session import stored
 
@@ -40,8 +40,6 @@ SMALL = 256
 # Characters whose counts a pair is held against, their parities before its text is read (fixed values).
 LETTERS = "etaonirshldcumpgfwybvk0123456789.,-"
 BLANKS_IN_LINE = " \t\x0b\x0c\r"
-SIEVE_BITS = 1 << 26
-BITMAP_BITS = 1 << 15
 # Documents looked at for segments that a good part of all lines hold, and how many slices such a key gets.
 SAMPLE_DOCUMENTS = 20_000
 HOT_SHARE = 500
@@ -179,21 +177,6 @@ def _meeting(lines: DataFrame, hot: DataFrame, distance: int) -> DataFrame:
     return stored(met.select("h").distinct(), "meeting")
 
 
-def _sifted(lines: DataFrame, wanted: DataFrame) -> DataFrame:
-    """Lines whose hash may be wanted: a bitmap of bounded size, broadcast, lets all wanted ones pass."""
-
-    def bit(hashed: Column) -> Column:
-        return F.pmod(hashed, F.lit(SIEVE_BITS))
-
-    bits = wanted.select(bit(F.col("h")).alias("bit")).distinct()
-    bucket, position = F.floor(F.col("bit") / BITMAP_BITS), F.col("bit") % BITMAP_BITS
-    maps = bits.groupBy(bucket.alias("bucket")).agg(F.bitmap_construct_agg(position).alias("bitmap"))
-    found = lines.withColumn("bit", bit(F.col("h"))).join(F.broadcast(stored(maps, "sieve")), bucket == F.col("bucket"))
-    byte = F.conv(F.hex(F.substring(F.col("bitmap"), (position / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
-    mask = F.element_at(F.array(*[F.lit(1 << k) for k in range(8)]), (position % 8).cast("int") + 1)
-    return found.filter(byte.bitwiseAND(mask) != 0).select(*lines.columns)
-
-
 def _first_difference(low: Column, high: Column) -> Column:
     """Number of characters that two texts have in common at their beginning."""
     shorter = F.least(F.length(low), F.length(high))
@@ -260,7 +243,7 @@ def similar_lines(docs: DataFrame, id_col: str, text_col: str, distance: int = D
     lines = _lines(docs, id_col, text_col)
     wanted = _meeting(lines, _hot_keys(docs, id_col, text_col, distance), distance)
     # Not a semi-join: Spark would do that before the bitmap, and shuffle all texts.
-    texts = _sifted(lines.select("h", "line"), wanted).join(wanted, "h")
+    texts = sifted(lines.select("h", "line"), F.col("h"), wanted, F.col("h")).join(wanted, "h")
     texts = texts.groupBy("h").agg(F.first("line").alias("line"))
     texts = stored(texts.withColumn("counts", _counts(F.col("line"))), "compared")
     first = F.lit(0).cast("long").alias("group")
