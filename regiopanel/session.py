@@ -24,6 +24,9 @@ SETTINGS = {
     "spark.ui.showConsoleProgress": "false",
 }
 
+# Spark then drops the shuffle files of a plan when it ends, not when the driver next collects garbage.
+RELEASE = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def build_session(master: str | None = None, **extra: str) -> SparkSession:
     builder = SparkSession.builder.appName("regiopanel")
@@ -65,8 +68,18 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to an unused path below the shared folder and read it back.
 
     For intermediates with several consumers: the work before is done once, is not
-    repeated when an executor is lost, and Spark knows the exact size for its joins.
+    repeated when an executor is lost, and Spark knows the exact size for its joins.  What the
+    plan shuffled is released once it is written; the session's own setting is put back.
     """
-    path = fresh_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    path = fresh_path(spark, name)
+    before = spark.conf.get(RELEASE, None)
+    spark.conf.set(RELEASE, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(RELEASE)
+        else:
+            spark.conf.set(RELEASE, before)
+    return spark.read.schema(df.schema).parquet(path)
