@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from datetime import date
 
@@ -11,6 +12,9 @@ from pyspark.sql import Window
 
 Bound = date | str | Column
 
+# Rows of a dense panel that one task sorts, on average: some 120 MB.
+TASK_ROWS = 1 << 20
+
 
 def _bound(value: Bound) -> Column:
     return value if isinstance(value, Column) else F.lit(value).cast("date")
@@ -46,6 +50,19 @@ def panel_days(
     return _bound(start) if start is not None else lo, _bound(end) if end is not None else hi
 
 
+def panel_tasks(fact: DataFrame, geo: str = "geo", day: str = "day") -> int | None:
+    """Over how many tasks to deal a dense panel whose keys grow with the data; None if one is enough.
+
+    One pass over two columns.  Spark sizes tasks by the sparse rows they read, but each sorts the dense rows
+    made of them.
+    """
+    size = fact.agg(
+        F.approx_count_distinct(geo).alias("keys"), (F.datediff(F.max(day), F.min(day)) + 1).alias("days")
+    ).first()
+    tasks = math.ceil(size.keys * (size.days or 0) / TASK_ROWS)
+    return max(tasks, fact.sparkSession.sparkContext.defaultParallelism) if tasks > 1 else None
+
+
 def _days(start: Column, end: Column) -> Column:
     """Each day between the bounds as a row; none where they are in the wrong order."""
     return F.explode(F.when(start <= end, F.sequence(start, end)))
@@ -96,6 +113,7 @@ def dense_panel(
     end: Bound | None = None,
     anchor: str | None = None,
     days_of: DataFrame | None = None,
+    tasks: int | None = None,
 ) -> DataFrame:
     """One zero-filled row per region and day with the summed measures.
 
@@ -107,7 +125,8 @@ def dense_panel(
     panel.  With ``anchor``, only regions having a row marked there are kept, and days
     beyond those of the marked rows are left out.  A bound that is not given is the first
     or last day of ``days_of``: a cheaper source of the same days, such as one column of
-    the raw table, or else the facts themselves.
+    the raw table, or else the facts themselves.  The regions are dealt over ``tasks`` (see ``panel_tasks``),
+    or as Spark chooses, which is enough for a bounded number of them.
     """
     known = present(fact, geo, day)
     if days_of is None and (start is None or end is None):
@@ -126,6 +145,9 @@ def dense_panel(
             *[F.when(inside, F.col(m)).alias(m) for m in measures],
             *([anchor] if anchor else []),
         )
+    if tasks:
+        # Nearly each row is a sum of its own: aggregated where it is read, a file's part would be held in memory.
+        known = known.repartition(tasks, geo, day)
     zero = F.lit(0).cast("bigint")
     sums = known.groupBy(geo, day).agg(
         *[F.coalesce(F.sum(F.col(m).cast("bigint")), zero).alias(m) for m in measures],
@@ -133,6 +155,8 @@ def dense_panel(
     )
     if anchor:
         sums = sums.filter(F.col(day).between(lo, hi))
+    if tasks:
+        sums = sums.repartition(tasks, geo)
 
     by_day = Window.partitionBy(geo).orderBy(day)
     whole = by_day.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)

@@ -17,6 +17,7 @@ from regiopanel.operators.spine import (
     dense_panel,
     distinct_keys,
     outside_spine,
+    panel_tasks,
     spine_grid,
     sum_by,
     zero_fill_by_union,
@@ -596,7 +597,7 @@ def supplier_panel(s: Standins) -> DataFrame:
         F.lit(1).cast("bigint").alias("cases"),
         (F.col("l_returnflag") == "R").cast("bigint").alias("deaths"),
     )
-    panel = dense_panel(lines, COUNTS, days_of=lines.select("day"))
+    panel = dense_panel(lines, COUNTS, days_of=lines.select("day"), tasks=panel_tasks(lines))
     size = s.table("supplier").select(
         F.col("s_suppkey").alias("geo"), (F.col("s_nationkey") + 100).cast("bigint").alias("population")
     )

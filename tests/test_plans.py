@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from helpers import day, rows
+from regiopanel.operators import spine
 from regiopanel.operators.allocate import allocate_proportional
 from regiopanel.operators.indicators import indicators
 from regiopanel.operators.spine import dense_panel
@@ -150,3 +151,17 @@ def test_both_upper_levels_come_from_one_pass(spark):
     plan = plan_of(upper_counts(s.counts, s.doses, s.regions, OPTIONS, days_of=s.span))
     panel_scans = [line for line in plan.splitlines() if "FileScan" in line and "is_subtotal" in line]
     assert len(panel_scans) == 1 and plan.count("Expand ") == 1
+
+
+def test_tasks_of_the_supplier_panel_follow_its_rows(spark, monkeypatch):
+    query = REGISTRY["supplier_indicators"].run
+    before = sorted(map(repr, query(spark, FOLDER).collect()))
+    monkeypatch.setattr(spine, "TASK_ROWS", 1000)
+    found = query(spark, FOLDER)
+    keys, days = (spark.read.parquet(f"{FOLDER}/lineitem.parquet").agg(
+        F.countDistinct("l_suppkey"), F.datediff(F.max("l_shipdate"), F.min("l_shipdate")) + 1
+    ).first())
+    plan = plan_of(found)
+    assert "REPARTITION_BY_NUM" in plan
+    assert found.rdd.getNumPartitions() >= keys * days * 0.8 / 1000
+    assert sorted(map(repr, found.collect())) == before
