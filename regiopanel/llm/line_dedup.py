@@ -35,10 +35,12 @@ from regiopanel.session import stored
 
 DISTANCE = 2
 CHARS_AN_EDIT = 12
-# Keys of lines that meet at one segment and are compared with each other, by parities first: at most SMALL squared bit operations.
+# Keys of lines that meet at one segment and are compared with each other, by signatures first: at most SMALL squared bit operations.
 SMALL = 256
 # Characters whose counts a pair is held against, their parities before its text is read (fixed values).
 LETTERS = "etaonirshldcumpgfwybvk0123456789.,-"
+# Parities of pairs of neighbours beside them: what is left of 64 bits.
+PAIR_BITS = 64 - len(LETTERS)
 BLANKS_IN_LINE = " \t\x0b\x0c\r"
 # Documents looked at for segments that a good part of all lines hold, and how many slices such a key gets.
 SAMPLE_DOCUMENTS = 20_000
@@ -65,6 +67,28 @@ def _parities(counts: Column) -> Column:
     return reduce(lambda a, b: a.bitwiseOR(b), bits)
 
 
+def _signature(line: Column, counts: Column) -> Column:
+    """Parities of a line's letters, and above them those of its pairs of neighbours, dealt over PAIR_BITS bits."""
+    letters = _parities(counts)
+    starts = F.sequence(F.lit(1), F.length(line) - 1)
+    places = F.transform(starts, lambda i: F.pmod(F.xxhash64(F.substring(line, i, F.lit(2))), F.lit(PAIR_BITS)).cast("int"))
+    bit = F.array(*[F.lit(_signed(1 << (len(LETTERS) + k))).cast("long") for k in range(PAIR_BITS)])
+    pairs = F.aggregate(places, F.lit(0).cast("long"), lambda x, k: x.bitwiseXOR(F.get(bit, k)))
+    return letters.bitwiseOR(F.when(F.length(line) > 1, pairs).otherwise(F.lit(0).cast("long")))
+
+
+def _signed(bits: int) -> int:
+    return bits - (1 << 64) if bits >> 63 else bits
+
+
+def _alike(a: Column, b: Column, distance: int) -> Column:
+    """Whether signatures can be of copies: an edit changes two letters at most, and four pairs of neighbours."""
+    differ = a.bitwiseXOR(b)
+    letters = differ.bitwiseAND(F.lit((1 << len(LETTERS)) - 1).cast("long"))
+    pairs = F.shiftrightunsigned(differ, len(LETTERS))
+    return (F.bit_count(letters) <= 2 * distance) & (F.bit_count(pairs) <= 4 * distance)
+
+
 def _edits(length: Column, distance: int) -> Column:
     """Edits that make a copy of a line of so many characters."""
     return F.least(F.lit(distance), F.floor(length / CHARS_AN_EDIT).cast("int"))
@@ -221,7 +245,7 @@ def _round(state: DataFrame, distance: int) -> tuple[DataFrame, DataFrame]:
     met = stored(rows.join(sizes, "key"), "met")
     few = met.filter(F.col("last") | (F.col("members") <= SMALL)).select("key", "indexed", "h", "bits").distinct()
     a = few.filter("indexed").select("key", F.col("h").alias("a"), F.col("bits").alias("bits_a"))
-    near = F.bit_count(F.col("bits").bitwiseXOR(F.col("bits_a"))) <= 2 * distance
+    near = _alike(F.col("bits"), F.col("bits_a"), distance)
     # Two keys of the index meet once, not from both sides.
     once = (F.col("h") > F.col("a")) | (~F.col("indexed") & (F.col("h") != F.col("a")))
     pairs = few.join(a, "key").filter(once & near)
@@ -247,7 +271,7 @@ def similar_lines(docs: DataFrame, id_col: str, text_col: str, distance: int = D
     texts = texts.groupBy("h").agg(F.first("line").alias("line"))
     texts = stored(texts.withColumn("counts", _counts(F.col("line"))), "compared")
     first = F.lit(0).cast("long").alias("group")
-    state = texts.select(first, "h", _parities(F.col("counts")).alias("bits"), F.col("line").alias("rest"))
+    state = texts.select(first, "h", _signature(F.col("line"), F.col("counts")).alias("bits"), F.col("line").alias("rest"))
     rounds = []
     while not rounds or not state.isEmpty():
         pairs, state = _round(state, distance)
