@@ -1,17 +1,27 @@
 """Stages keep the rows and columns they should: clashing names, repeated and null ids."""
 
+import collections
+import os
+
 from pyspark.sql import functions as F
 
+from regiopanel.llm.components import components
 from regiopanel.llm.exact_dedup import keep_first_copies
-from regiopanel.llm.jaccard_join import keep_one_of_each
+from regiopanel.llm.jaccard_join import jaccard_classes, keep_one_of_each
 from regiopanel.llm.pii import redact
-from regiopanel.llm.quality_rules import keep_good
+from regiopanel.llm.quality_rules import judge, keep_good
+from regiopanel.session import shared_folder
 
 WORDS = [f"word{i}" for i in range(60)]
 OTHER = "Please write to a.b@c.de about it. The meeting was moved to the second week of May, as many of us are away."
 TEXT = "The quick brown fox jumps over the lazy dog near the old river bank while the sun sets. "
 
 
+def stored_names(spark):
+    """How many steps of each name are stored."""
+    return collections.Counter(x.rsplit("-", 1)[0] for x in os.listdir(shared_folder(spark).removeprefix("file:")))
+
+
 def test_columns_of_reserved_names_stay(spark):
     docs = spark.createDataFrame(
         [(1, TEXT, "a", "b", "c", 0), (1, TEXT, "a", "b", "c", 0), (2, OTHER, "a", "b", "c", 0)],
@@ -40,3 +50,31 @@ def test_one_of_each_without_ids(spark):
     assert keep_one_of_each(docs).count() == 1
     same = docs.withColumn("doc_id", F.lit(5).cast("long"))
     assert keep_one_of_each(same).count() == 1
+
+
+def test_quality_stage_stores_no_texts(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    before = stored_names(spark)
+    kept = {r.doc_id for r in keep_good(docs).select("doc_id").collect()}
+    assert stored_names(spark) == before
+    assert kept == {r.doc_id for r in judge(docs).filter("kept").collect()}
+
+
+def test_stars_need_no_further_turn(spark):
+    links = spark.createDataFrame([(i, 0) for i in range(1, 9)] + [(20, 21), (20, 22)], "a long, b long")
+    before = stored_names(spark)
+    got = {r["node"]: r["component"] for r in components(links).collect()}
+    assert got == {**dict.fromkeys(range(9), 0), 20: 20, 21: 20, 22: 20}
+    assert stored_names(spark)["links"] - before["links"] == 1
+
+
+def test_later_rounds_go_through_new_links_only(spark):
+    # Chains of near copies: the links of a round join components of the round before.
+    chains = [" ".join([f"c{c}w{i}" for i in range(k, k + 60)]) for c in range(6) for k in range(0, 24, 4)]
+    docs = spark.createDataFrame(list(enumerate(chains)), "doc_id long, text string")
+    before = stored_names(spark)
+    rows = jaccard_classes(docs).collect()
+    classes = {r.doc_id: r.component for r in rows}
+    assert len(set(classes.values())) == 6
+    assert all(classes[6 * c] == classes[6 * c + k] for c in range(6) for k in range(6))
+    assert stored_names(spark)["links"] - before["links"] <= 4
