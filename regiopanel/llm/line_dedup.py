@@ -9,8 +9,9 @@ remaining edits allows.
 Lines of one template share a segment without being copies.  Where more than ``SMALL`` lines meet at a
 segment, it is taken out of them, with whatever all of them begin and end with, and what is left is cut into
 segments again: two lines that share a segment have all their edits in the rest.  So a hot segment is split
-until few lines meet or the rest is shorter than the number of segments.  Then pairs are made: their number
-follows that of the lines, not its square.  Groups of the same lines and rests go on once.
+until few lines meet or the rest is shorter than the number of segments.  Then pairs are made, each at the first
+key that its lines share: their number follows that of the lines, not its square.  Groups of the same lines and
+rests go on once.
 
 Pairs are compared by a band of bit vectors, which alone decide; before, pairs whose counts of letters can't be
 of copies are left out.  Everything is a built-in expression.  Keys travel first, without text; texts follow
@@ -207,7 +208,8 @@ def _round(state: DataFrame, distance: int) -> tuple[DataFrame, DataFrame]:
             counts,
             F.struct(
                 F.xxhash64("group", length, F.lit(i), F.substring(F.col("rest"), at, size)).alias("key"),
-                F.lit(of_index).alias("indexed"), (length < parts).alias("last"), at.alias("at"), size.alias("size"),
+                F.lit(of_index).alias("indexed"), (length < F.col("n")).alias("longer"),
+                (length < parts).alias("last"), at.alias("at"), size.alias("size"),
             ),
         )
         for of_index, i, length, at, size, counts in _places(F.col("n"), distance)
@@ -219,13 +221,20 @@ def _round(state: DataFrame, distance: int) -> tuple[DataFrame, DataFrame]:
     )
     sizes = sizes.filter("low != high and any").select("key", "members")
     met = stored(rows.join(sizes, "key"), "met")
-    few = met.filter(F.col("last") | (F.col("members") <= SMALL)).select("key", "indexed", "h", "bits").distinct()
-    a = few.filter("indexed").select("key", F.col("h").alias("a"), F.col("bits").alias("bits_a"))
+    few = met.filter(F.col("last") | (F.col("members") <= SMALL))
+    # A line looks for shorter ones and for lines of its length with a smaller hash, all of whose copies it finds so.
+    # Its keys travel with it: a pair is made at the first key where it meets, not at each.
+    few = few.groupBy("h", "bits").agg(
+        F.collect_set("key").alias("probes"),
+        F.collect_set(F.when(F.col("longer"), F.col("key"))).alias("probes_shorter"),
+        F.collect_set(F.when(F.col("indexed"), F.col("key"))).alias("index"),
+    )
+    a = few.select(F.explode("index").alias("key"), F.col("h").alias("a"), F.col("bits").alias("bits_a"), "index")
+    few = few.select(F.explode("probes").alias("key"), "h", "bits", "probes", "probes_shorter")
     near = F.bit_count(F.col("bits").bitwiseXOR(F.col("bits_a"))) <= 2 * distance
-    # Two keys of the index meet once, not from both sides.
-    once = (F.col("h") > F.col("a")) | (~F.col("indexed") & (F.col("h") != F.col("a")))
-    pairs = few.join(a, "key").filter(once & near)
-    pairs = pairs.select(F.least("a", "h").alias("a"), F.greatest("a", "h").alias("b")).distinct()
+    shared = F.array_intersect(F.when(F.col("h") > F.col("a"), F.col("probes")).otherwise(F.col("probes_shorter")), F.col("index"))
+    pairs = few.join(a, "key").filter((F.col("h") != F.col("a")) & near & (F.array_min(shared) == F.col("key")))
+    pairs = pairs.select(F.least("a", "h").alias("a"), F.greatest("a", "h").alias("b"))
     many = met.filter(~F.col("last") & (F.col("members") > SMALL)).select("key", "id", "at", "size")
     rest = F.concat(F.expr("substring(rest, 1, at - 1)"), F.expr("substring(rest, at + size)"))
     many = many.join(state.drop("n"), "id").select(F.col("key").alias("group"), "h", "bits", rest.alias("rest"))

@@ -90,3 +90,70 @@ def test_pairs_of_a_template_follow_its_lines(spark):
     """All lines share two segments; all pairs would be 1,999,000 and 7,998,000."""
     few, many = pairs_of_template(spark, 2000), pairs_of_template(spark, 4000)
     assert few < 20 * 2000 and many < 20 * 4000
+
+
+def lines_with_a_word_more(count):
+    """One line, with four random letters put in after one of its words: nearly all pairs are no copies."""
+    random.seed(7)
+    words = [f"{a}{b}" for a in ("pay", "ship", "order", "stock", "claim") for b in ("ing", "ment", "s", "able")]
+    out = []
+    for _ in range(count):
+        at = random.randrange(len(words))
+        more = "".join(random.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(4))
+        out.append(" ".join([*words[:at], words[at] + more, *words[at + 1 :]]))
+    return out
+
+
+def nodes(plan):
+    yield plan
+    kind = plan.getClass().getSimpleName()
+    if kind == "AdaptiveSparkPlanExec":
+        yield from nodes(plan.executedPlan())
+    elif kind.endswith("QueryStageExec"):
+        yield from nodes(plan.plan())
+    for i in range(plan.children().size()):
+        yield from nodes(plan.children().apply(i))
+
+
+def rows_joined(df):
+    """Rows that the last join of a plan makes."""
+    df.collect()
+    joins = [x for x in nodes(df._jdf.queryExecution().executedPlan()) if "Join" in x.nodeName()]
+    return joins[0].metrics().apply("numOutputRows").value()
+
+
+def test_lines_that_share_several_segments_meet_once(spark, monkeypatch):
+    """A pair is made at one of the keys that its lines share, not at each and then told to be the same."""
+    lines = spark.createDataFrame([(x,) for x in lines_with_a_word_more(400)], "line string").distinct()
+    bits = line_dedup._parities(line_dedup._counts(F.col("line")))
+    state = lines.select(F.lit(0).cast("long").alias("group"), F.xxhash64("line").alias("h"), bits.alias("bits"), F.col("line").alias("rest"))
+    plain, made = line_dedup.stored, []
+
+    def counted(df, name):
+        if name == "pairs":
+            made.append(rows_joined(df))
+        return plain(df, name)
+
+    state = plain(state, "state")
+    monkeypatch.setattr(line_dedup, "stored", counted)
+    told = 0
+    while not state.isEmpty():
+        pairs, state = line_dedup._round(state, 2)
+        told += pairs.distinct().count()
+    assert told > 1000 and sum(made) < 1.05 * told
+
+
+def test_links_equal_brute_force(spark, monkeypatch):
+    """Every link, not only the classes, whichever of two lines looks for the other."""
+    monkeypatch.setattr(line_dedup, "SMALL", 4)
+    lines = sorted(set(mixed_lines()[::2] + lines_with_a_word_more(40)))
+    docs = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
+    of = {r["h"]: r["line"] for r in docs.select("text").toDF("line").withColumn("h", F.xxhash64("line")).collect()}
+    got = {tuple(sorted((of[r["a"]], of[r["b"]]))) for r in line_dedup.similar_lines(docs, "doc_id", "text").collect()}
+    want = set()
+    for i, a in enumerate(lines):
+        for b in lines[:i]:
+            edits = min(2, min(len(a), len(b)) // 12)
+            if edits and abs(len(a) - len(b)) <= edits and edit_distance(a, b) <= edits:
+                want.add((b, a))
+    assert got == want
