@@ -36,9 +36,9 @@ from regiopanel.session import stored
 
 DISTANCE = 2
 CHARS_AN_EDIT = 12
-# Keys of lines that meet at one segment and are compared with each other, by parities first: at most SMALL squared bit operations.
+# Keys of lines that meet at one segment and are compared with each other, by bits of counts first: at most SMALL squared bit operations.
 SMALL = 256
-# Characters whose counts a pair is held against, their parities before its text is read (fixed values).
+# Characters whose counts a pair is held against, the last bits of them before its text is read (fixed values).
 LETTERS = "etaonirshldcumpgfwybvk0123456789.,-"
 BLANKS_IN_LINE = " \t\x0b\x0c\r"
 # Documents looked at for segments that a good part of all lines hold, and how many slices such a key gets.
@@ -56,14 +56,27 @@ def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def _counts(line: Column) -> Column:
-    """How often a line holds each letter; an edit changes at most two of the counts, by one."""
+    """How often a line holds each letter, then all others; an edit changes at most two of the counts, by one."""
     whole = F.length(line)
-    return F.array(*[whole - F.length(F.replace(line, F.lit(c), F.lit(""))) for c in LETTERS])
+    counts = [whole - F.length(F.replace(line, F.lit(c), F.lit(""))) for c in LETTERS]
+    return F.array(*counts, whole - reduce(lambda a, b: a + b, counts))
 
 
 def _parities(counts: Column) -> Column:
-    bits = [F.shiftleft((F.get(counts, F.lit(i)) % 2).cast("long"), i) for i in range(len(LETTERS))]
-    return reduce(lambda a, b: a.bitwiseOR(b), bits)
+    """The last two bits of each count: all the last ones, and all those before them."""
+
+    def bits(number: int) -> Column:
+        one = F.transform(counts, lambda x, i: F.call_function("shiftleft", F.shiftright(x, number).bitwiseAND(F.lit(1)).cast("long"), i))
+        return F.aggregate(one, F.lit(0).cast("long"), lambda x, y: x.bitwiseOR(y))
+
+    return F.struct(bits(0).alias("low"), bits(1).alias("high"))
+
+
+def _apart(a: Column, b: Column) -> Column:
+    """By how much the counts differ at least: one where it is odd, two where it is 2 modulo 4."""
+    odd = a["low"].bitwiseXOR(b["low"])
+    two = a["high"].bitwiseXOR(b["high"]).bitwiseAND(F.bitwise_not(odd))
+    return F.bit_count(odd) + 2 * F.bit_count(two)
 
 
 def _edits(length: Column, distance: int) -> Column:
@@ -231,7 +244,7 @@ def _round(state: DataFrame, distance: int) -> tuple[DataFrame, DataFrame]:
     )
     a = few.select(F.explode("index").alias("key"), F.col("h").alias("a"), F.col("bits").alias("bits_a"), "index")
     few = few.select(F.explode("probes").alias("key"), "h", "bits", "probes", "probes_shorter")
-    near = F.bit_count(F.col("bits").bitwiseXOR(F.col("bits_a"))) <= 2 * distance
+    near = _apart(F.col("bits"), F.col("bits_a")) <= 2 * distance
     shared = F.array_intersect(F.when(F.col("h") > F.col("a"), F.col("probes")).otherwise(F.col("probes_shorter")), F.col("index"))
     pairs = few.join(a, "key").filter((F.col("h") != F.col("a")) & near & (F.array_min(shared) == F.col("key")))
     pairs = pairs.select(F.least("a", "h").alias("a"), F.greatest("a", "h").alias("b"))
