@@ -2,7 +2,10 @@
 
 import collections
 import os
+import random
+from pathlib import Path
 
+import pyarrow.parquet as pq
 from pyspark.sql import functions as F
 
 from regiopanel.llm.components import components
@@ -78,3 +81,27 @@ def test_later_rounds_go_through_new_links_only(spark):
     assert len(set(classes.values())) == 6
     assert all(classes[6 * c] == classes[6 * c + k] for c in range(6) for k in range(6))
     assert stored_names(spark)["links"] - before["links"] <= 4
+
+
+def near_copies(spark):
+    rng, rows = random.Random(3), []
+    for _ in range(40):
+        words = [f"w{rng.randrange(5000)}" for _ in range(300)]
+        for k in range(6):
+            rows.append((len(rows), " ".join([*words[: 40 * k], f"copy{k}", *words[40 * k :]])))
+    return spark.createDataFrame(rows, "doc_id long, text string")
+
+
+def test_near_copies_are_joined_without_storing_their_texts_or_sets(spark):
+    docs = near_copies(spark)
+    before = set(os.listdir(shared_folder(spark).removeprefix("file:")))
+    rows = jaccard_classes(docs).collect()
+    assert len({(r.doc_id // 6, r.component) for r in rows}) == len({r.component for r in rows}) == 40
+    folder = Path(shared_folder(spark).removeprefix("file:"))
+    made = [p for name in set(os.listdir(folder)) - before for p in (folder / name).glob("*.parquet")]
+    sets = 8 * sum(r.n_shingles for r in rows)
+    sizes = collections.Counter()
+    for p in made:
+        sizes[p.parent.name.split("-")[0]] += pq.read_table(p).nbytes
+    # The profile holds tokens that several texts of a batch share, for their order; all else is small.
+    assert sum(sizes.values()) - sizes["profile"] < sets / 4
