@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from regiopanel.llm.common import BLANKS, columns, spare_name, text_or_empty
-from regiopanel.session import stored
+from regiopanel.session import passing, stored
 
 BLOCK_BYTES = 8192
 KEY_BITS = 64
@@ -107,9 +107,11 @@ def exact_dedup(
     data = columns(docs, doc_id=id_col, text=text_col).select("doc_id", normalised("text").cast("binary").alias("data"))
     data = data.withColumn("row", F.monotonically_increasing_id())
     keys = F.transform(_blocks("data", block_bytes), lambda b: _key(b, key_bits))
-    entries = stored(data.select("row", "doc_id", F.sha2("data", 256).alias("text_sha256"), keys.alias("keys")), "entries")
-    found = identities(_named_blocks(data, entries, block_bytes, key_bits))
-    rows = stored(found.join(entries.drop("keys"), "row"), "identified")
+    entries = data.select("row", "doc_id", F.sha2("data", 256).alias("text_sha256"), keys.alias("keys"))
+    with passing(docs.sparkSession):
+        entries = stored(entries, "entries")
+        found = identities(_named_blocks(data, entries, block_bytes, key_bits))
+        rows = stored(found.join(entries.drop("keys"), "row"), "identified", stays=True)
     rank = F.struct(F.col("doc_id").isNull(), "doc_id", "row")
     groups = rows.groupBy("level", "name").agg(F.min(rank).alias("first"), F.count("*").alias("group_size"))
     return rows.join(groups, ["level", "name"]).select(
@@ -123,8 +125,10 @@ def exact_dedup(
 
 def keep_first_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The documents with one of each group of equal texts, all columns kept."""
-    kept = exact_dedup(docs, id_col, text_col).filter("kept").select("doc_id", "text_sha256")
-    kept = stored(kept.select(F.col("doc_id").alias("_kept_id"), F.col("text_sha256").alias("_kept_text")), "kept")
+    with passing(docs.sparkSession):
+        kept = exact_dedup(docs, id_col, text_col).filter("kept")
+        kept = kept.select(F.col("doc_id").alias("_kept_id"), F.col("text_sha256").alias("_kept_text"))
+        kept = stored(kept, "kept", stays=True)
     digest = F.sha2(normalised(text_col).cast("binary"), 256)
     same = docs[f"`{id_col}`"].eqNullSafe(kept["_kept_id"]) & (digest == kept["_kept_text"])
     rows = docs.join(kept, same, "left_semi")

@@ -105,3 +105,12 @@ def test_near_copies_are_joined_without_storing_their_texts_or_sets(spark):
         sizes[p.parent.name.split("-")[0]] += pq.read_table(p).nbytes
     # The profile holds tokens that several texts of a batch share, for their order; all else is small.
     assert sum(sizes.values()) - sizes["profile"] < sets / 4
+
+
+def test_passing_tables_are_removed(spark):
+    docs = near_copies(spark)
+    before = stored_names(spark)
+    assert keep_first_copies(docs).count() == 240
+    assert stored_names(spark) - before == {"kept": 1}
+    assert keep_one_of_each(docs).count() == 40
+    assert set(stored_names(spark) - before) <= {"kept", "classified", "near-copies"}
